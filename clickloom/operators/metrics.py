@@ -17,15 +17,14 @@ def roc_auc(rows: DataFrame, label: str, score: str) -> DataFrame:
     Rows are counted per distinct score first. With hard 0/1 predictions as the score this is
     the balanced accuracy.
     """
-    counts = (
-        rows.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("score"))
-        .agg(
-            F.count_if(F.col(label) == 1).alias("pos"),
-            F.count_if(F.col(label) != 1).alias("neg"),
-        )
+    scored = rows.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
+        F.col(score).cast("double").alias("score"), (F.col(label) == 1).alias("positive")
+    )
+    counts = scored.groupBy("score").agg(
+        F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg")
     )
-    ranked = running_sums(with_value_bucket(counts, "score"), "score", ["neg"])
+    bucketed = with_value_bucket(counts, "score", bounds_from=scored)
+    ranked = running_sums(bucketed, "score", ["neg"])
     won = F.col("pos") * (F.col("before_neg") + F.col("neg") / 2.0)
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return ranked.agg(F.try_divide(F.sum(won), pairs).alias("roc_auc"))

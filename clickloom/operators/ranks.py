@@ -60,19 +60,64 @@ def running_sums(
     return bucketed.join(starts, [*by, "_bucket"]).select(*columns, *before)
 
 
-def with_value_bucket(rows: DataFrame, value: str, buckets: int = VALUE_BUCKETS) -> DataFrame:
+def with_value_bucket(
+    rows: DataFrame,
+    value: str,
+    bounds_from: DataFrame | None = None,
+    buckets: int = VALUE_BUCKETS,
+) -> DataFrame:
     """Add ``_bucket``, the number of approximate quantiles of the column below each value.
 
-    The quantiles come from a fixed-size sketch. They only balance the buckets; any bounds keep
-    the order exact.
+    The quantiles come from a fixed-size sketch of ``bounds_from``, by default ``rows``. They only
+    balance the buckets; any bounds keep the order exact. ``buckets`` is a power of two and the
+    lookup a binary search in generated code.
+    """
+    shares = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    sketch = F.percentile_approx(value, F.expr(f"array({shares})"), F.lit(10_000))
+    bounds = (rows if bounds_from is None else bounds_from).agg(sketch).scalar()
+    placed = rows.withColumn("_bounds", bounds).withColumn("_bucket", F.lit(0))
+    step = buckets // 2
+    while step:
+        beyond = F.get("_bounds", F.col("_bucket") + (step - 1)) < F.col(value)
+        placed = placed.withColumn("_bucket", F.col("_bucket") + F.when(beyond, step).otherwise(0))
+        step //= 2
+    return placed.drop("_bounds")
+
+
+def values_at_ranks(rows: DataFrame, value: str, shares: Sequence[float]) -> DataFrame:
+    """``(share, rank, low, high)``: the values at the ranks next to each share of the rows.
+
+    ``rank`` is ``share * (rows - 1)``, ``low`` and ``high`` stand at it rounded down and up. The
+    rows are counted per bucket; only those in buckets that hold a wanted rank are shuffled, and
+    of them one per distinct value.
     """
-    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = rows.agg(F.percentile_approx(value, shares, F.lit(10_000))).scalar()
-    below = F.filter("_bounds", lambda b: b < F.col(value))
-    return (
-        rows.withColumn("_bounds", bounds)
-        .withColumn("_bucket", F.size(below))
-        .drop("_bounds")
+    bucketed = with_value_bucket(rows.select(value), value).withColumn("n", F.lit(1))
+    starts = _bucket_starts(bucketed, ["n"], ())
+    last = F.sum("_total_n").over(Window.partitionBy()) - 1
+    share = F.explode(F.array(*[F.lit(float(s)) for s in shares]))
+    wanted = (
+        starts.withColumn("_last", last)
+        .withColumn("share", share)
+        .withColumn("rank", F.col("share") * F.col("_last"))
+        .withColumn("_place", F.explode(F.array(F.floor("rank"), F.ceil("rank"))))
+        .filter(F.col("_place") >= F.col("_start_n"))
+        .filter(F.col("_place") < F.col("_start_n") + F.col("_total_n"))
+    )
+    # At most two buckets per share, one row each.
+    held = wanted.select("_bucket", "_start_n").distinct()
+    counts = (
+        bucketed.join(F.broadcast(held), "_bucket")
+        .groupBy("_bucket", "_start_n", value)
+        .agg(F.count("*").alias("_n"))
+    )
+    upto = Window.partitionBy("_bucket").orderBy(value)
+    placed = counts.withColumn("_end", F.col("_start_n") + F.sum("_n").over(upto))
+    inside = (F.col("_place") >= F.col("_end") - F.col("_n")) & (F.col("_place") < F.col("_end"))
+    hits = placed.join(
+        F.broadcast(wanted.select("_bucket", "share", "rank", "_place")), "_bucket"
+    ).filter(inside)
+    return hits.groupBy("share", "rank").agg(
+        F.min(value).alias("low"), F.max(value).alias("high")
     )
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .ranks import running_sums, with_value_bucket
+from .ranks import values_at_ranks
 
 # Fences stand 1.5 inter-quartile ranges outside the quartiles.
 QUARTILES = (0.25, 0.5, 0.75)
@@ -77,78 +77,40 @@ def histogram(rows: DataFrame, column: str, bins: int = 30) -> DataFrame:
     )
 
 
-def _ranked_values(rows: DataFrame, column: str) -> DataFrame:
-    """Distinct values ``v`` with their count ``n`` and the number of rows below, ``before_n``."""
-    counts = (
-        rows.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("v"))
-        .agg(F.count("*").alias("n"))
-    )
-    return running_sums(with_value_bucket(counts, "v"), "v", ["n"])
-
-
-def _quantile_row(ranked: DataFrame, shares: Sequence[float]) -> DataFrame:
-    total = ranked.agg(F.sum("n")).scalar()
-    held = ranked.withColumn("total", total)
+def _numbers(rows: DataFrame, column: str) -> DataFrame:
+    return rows.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
 
-    def at(rank: Column) -> Column:
-        inside = (F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n"))
-        return F.max(F.when(inside, F.col("v")))
 
-    picks = []
-    for i, share in enumerate(shares):
-        rank = (F.col("total") - 1) * F.lit(float(share))
-        picks += [
-            at(F.floor(rank)).alias(f"lo{i}"),
-            at(F.ceil(rank)).alias(f"hi{i}"),
-            F.max(rank - F.floor(rank)).alias(f"part{i}"),
-        ]
-    found = held.agg(*picks)
+def quantiles(rows: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
+    """``(share, value)``: exact quantiles with linear interpolation between ranks."""
+    found = values_at_ranks(_numbers(rows, column), "v", shares)
+    part = F.col("rank") - F.floor("rank")
     return found.select(
-        *[
-            (F.col(f"lo{i}") + F.col(f"part{i}") * (F.col(f"hi{i}") - F.col(f"lo{i}"))).alias(
-                f"q{i}"
-            )
-            for i in range(len(shares))
-        ]
+        "share", (F.col("low") + part * (F.col("high") - F.col("low"))).alias("value")
     )
 
 
-def quantiles(rows: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
-    """``(share, value)``: exact quantiles with linear interpolation.
-
-    Values are counted first and ranked by bucket sums, so no task holds the whole column.
-    """
-    row = _quantile_row(_ranked_values(rows, column), shares)
-    pairs = [
-        F.struct(F.lit(float(s)).alias("share"), F.col(f"q{i}").alias("value"))
-        for i, s in enumerate(shares)
-    ]
-    return row.select(F.inline(F.array(*pairs)))
-
-
 def box_plot(rows: DataFrame, column: str) -> DataFrame:
     """Quartiles, whiskers and outlier count of a numeric column.
 
     A whisker ends at the most extreme value inside its fence.
     """
-    ranked = _ranked_values(rows, column)
-    quartiles = _quantile_row(ranked, QUARTILES).select(
-        F.struct(
-            F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")
-        ).alias("q")
+    values = _numbers(rows, column)
+    names = ("q1", "median", "q3")
+    found = quantiles(values, "v", QUARTILES).agg(
+        *[
+            F.max(F.when(F.col("share") == s, F.col("value"))).alias(name)
+            for s, name in zip(QUARTILES, names)
+        ]
     )
-    q = quartiles.scalar()
-    held = ranked.withColumn("q", q)
+    held = values.withColumn("q", found.select(F.struct(*names)).scalar())
     reach = FENCE * (F.col("q.q3") - F.col("q.q1"))
     inside = F.col("v").between(F.col("q.q1") - reach, F.col("q.q3") + reach)
     return held.agg(
-        F.max("q.q1").alias("q1"),
-        F.max("q.median").alias("median"),
-        F.max("q.q3").alias("q3"),
+        *[F.max(f"q.{name}").alias(name) for name in names],
         F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
+        F.count_if(~inside).alias("outliers"),
     )
 
 
