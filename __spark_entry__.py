@@ -29,12 +29,12 @@ from clickloom.operators import (
     visits,
 )
 from clickloom.plans import (
-    data_mart,
-    event_split,
+    data_mart as mart,
+    event_split as event_plan,
     gender_age,
     label_study,
     tabular_study,
-    user_item_matrix,
+    user_item_matrix as matrix_plan,
     web_features,
 )
 from clickloom.sources import kafka, readers, sample_tables as tables, writers
@@ -126,7 +126,7 @@ def _split_tree(spark, sf_dir) -> str:
     """Shop visits sent as JSON messages and split into dated trees."""
     messages = kafka.json_messages(tables.shop_visits(spark, sf_dir).drop("date"))
     path = shared_path(spark, "events")
-    event_split.split_events(event_split.decode_events(messages), path)
+    event_plan.split_events(event_plan.decode_events(messages), path)
     return path
 
 
@@ -137,12 +137,12 @@ def file_manifest(spark, sf_dir):
 
 
 @query
-def event_split_days(spark, sf_dir):
+def event_split(spark, sf_dir):
     path = _split_tree(spark, sf_dir)
     layout = T.StructType(STORED_VISITS.fields + [T.StructField("$date", T.StringType())])
     trees = [
         readers.read_json(spark, f"{path}/{t}", layout).withColumn("tree", F.lit(t))
-        for t in event_split.EVENT_TYPES
+        for t in event_plan.EVENT_TYPES
     ]
     return (
         visits.union_logs(*trees)
@@ -300,7 +300,7 @@ def explode_visits(spark, sf_dir):
 def union_visits(spark, sf_dir):
     logs = tables.shop_visits(spark, sf_dir)
     return visits.union_logs(
-        *[logs.filter(F.col("event_type") == t) for t in event_split.EVENT_TYPES]
+        *[logs.filter(F.col("event_type") == t) for t in event_plan.EVENT_TYPES]
     )
 
 
@@ -311,7 +311,7 @@ def visits_of_clients(spark, sf_dir):
 
 
 def _web_category_counts(spark, sf_dir, key):
-    return data_mart.web_category_counts(
+    return mart.web_category_counts(
         tables.web_visits(spark, sf_dir), tables.domain_categories(spark, sf_dir), key
     )
 
@@ -328,7 +328,7 @@ def web_category_counts_host(spark, sf_dir):
 
 @query
 def shop_matrix(spark, sf_dir):
-    return data_mart.shop_matrix(tables.shop_visits(spark, sf_dir), tables.SHOP_COLUMNS)
+    return mart.shop_matrix(tables.shop_visits(spark, sf_dir), tables.SHOP_COLUMNS)
 
 
 @query
@@ -340,7 +340,7 @@ def shop_counts(spark, sf_dir):
 
 @query
 def web_matrix(spark, sf_dir):
-    return data_mart.web_matrix(
+    return mart.web_matrix(
         tables.web_visits(spark, sf_dir),
         tables.domain_categories(spark, sf_dir),
         tables.WEB_COLUMNS,
@@ -348,7 +348,7 @@ def web_matrix(spark, sf_dir):
 
 
 def _data_mart(spark, sf_dir, key):
-    return data_mart.data_mart(
+    return mart.data_mart(
         tables.clients(spark, sf_dir),
         tables.shop_visits(spark, sf_dir),
         tables.web_visits(spark, sf_dir),
@@ -360,26 +360,22 @@ def _data_mart(spark, sf_dir, key):
 
 
 @query
-def client_data_mart(spark, sf_dir):
+def data_mart(spark, sf_dir):
     return _data_mart(spark, sf_dir, "domain")
 
 
 @query
-def client_data_mart_host(spark, sf_dir):
+def data_mart_host(spark, sf_dir):
     return _data_mart(spark, sf_dir, "host")
 
 
-def _user_item_matrix(spark, sf_dir):
-    return user_item_matrix.user_item_matrix(
+@query
+def user_item_matrix(spark, sf_dir):
+    return matrix_plan.user_item_matrix(
         tables.shop_visits(spark, sf_dir), tables.ITEM_COLUMNS
     )
 
 
-@query
-def item_matrix(spark, sf_dir):
-    return _user_item_matrix(spark, sf_dir)
-
-
 @query
 def matrix_update(spark, sf_dir):
     """Two loads, the second an update of the first; together they equal the whole matrix."""
@@ -387,7 +383,7 @@ def matrix_update(spark, sf_dir):
     target = shared_path(spark, "matrix")
     days = [{"date_to": "20240115"}, {"date_from": "20240116"}]
     for load in days:
-        path = user_item_matrix.build_snapshot(
+        path = matrix_plan.build_snapshot(
             spark, source, target, update=True, values=tables.ITEM_COLUMNS, **load
         )
     return spark.read.parquet(path)
@@ -395,7 +391,7 @@ def matrix_update(spark, sf_dir):
 
 @query
 def matrix_snapshot_date(spark, sf_dir):
-    return user_item_matrix.snapshot_date(tables.shop_visits(spark, sf_dir))
+    return matrix_plan.snapshot_date(tables.shop_visits(spark, sf_dir))
 
 
 # Web features
@@ -476,7 +472,7 @@ def work_evening(spark, sf_dir):
 @query
 def feature_store(spark, sf_dir):
     features = web_features.feature_store(
-        tables.web_visits(spark, sf_dir), _user_item_matrix(spark, sf_dir), TOP_N
+        tables.web_visits(spark, sf_dir), user_item_matrix(spark, sf_dir), TOP_N
     )
     shares = ["web_fraction_work_hours", "web_fraction_evening_hours"]
     return features.withColumns(
@@ -718,7 +714,7 @@ def fixed_standardize(spark, sf_dir):
 
 
 @query
-def train_pipeline(spark, sf_dir):
+def train_gender_age(spark, sf_dir):
     """Train on all labelled visits, store and load the model, score every user."""
     model = gender_age.train(tables.labelled_visits(spark, sf_dir))
     path = shared_path(spark, "gender-age-model")

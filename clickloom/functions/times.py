@@ -23,7 +23,13 @@ def _as_column(value: Column | str) -> Column:
 
 def epoch_millis(ts: Column | str) -> Column:
     """Zone-less timestamp to epoch milliseconds, rounded down."""
-    return F.floor(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _as_column(ts)) / 1000)
+    since = _as_column(ts).cast("timestamp_ntz") - F.expr(_EPOCH)
+
+    def part(name: str) -> Column:
+        return F.extract(F.lit(name), since)
+
+    minutes = (part("DAY").cast("long") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes * 60_000 + F.floor(part("SECOND") * 1000).cast("long")
 
 
 def utc_seconds(millis: Column | str) -> Column:

@@ -17,12 +17,14 @@ def domain_totals(counts: DataFrame) -> DataFrame:
 
 
 def top_domains(totals: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
-    """The ``n`` most visited domains; equal counts are cut in alphabetical order."""
-    return (
-        totals.filter(F.col("domain").isNotNull())
-        .orderBy(F.desc("count"), F.asc("domain"))
-        .limit(n)
-    )
+    """The ``n`` most visited domains; equal counts are cut in alphabetical order.
+
+    Visits without a domain sort last and are dropped behind the limit. A filter before it would
+    be pushed below the counts, which could then no longer be shared with the per-user vectors.
+    """
+    unknown = F.col("domain").isNull()
+    ordered = totals.orderBy(unknown, F.desc("count"), F.asc("domain")).limit(n)
+    return ordered.filter(~unknown)
 
 
 def vocabulary(top: DataFrame) -> DataFrame:

@@ -175,7 +175,7 @@ def _sources_and_filters() -> dict[str, str]:
         "file_manifest": _with(
             SHOP, select="SELECT DISTINCT '$date=' || date AS label, true AS filled FROM shop"
         ),
-        "event_split_days": _with(
+        "event_split": _with(
             SHOP,
             select="SELECT event_type AS tree, event_type, date, date AS folder, count(*) AS n, "
             "sum(timestamp)::BIGINT AS sum_timestamp FROM shop GROUP BY ALL",
@@ -262,9 +262,9 @@ def _joins_and_pivots() -> dict[str, str]:
             WEB, CATEGORIES, _category_counts(DOMAIN), WEB_MATRIX,
             select="SELECT * FROM web_matrix",
         ),
-        "client_data_mart": _data_mart(DOMAIN),
-        "client_data_mart_host": _data_mart(HOST),
-        "item_matrix": _with(SHOP, ITEM_MATRIX, select="SELECT * FROM item_matrix"),
+        "data_mart": _data_mart(DOMAIN),
+        "data_mart_host": _data_mart(HOST),
+        "user_item_matrix": _with(SHOP, ITEM_MATRIX, select="SELECT * FROM item_matrix"),
         "matrix_update": _with(SHOP, ITEM_MATRIX, select="SELECT * FROM item_matrix"),
         "matrix_snapshot_date": _with(SHOP, select="SELECT max(date) AS snapshot_date FROM shop"),
     }
