@@ -399,13 +399,12 @@ def matrix_snapshot_date(spark, sf_dir):
 
 @query
 def domain_counts(spark, sf_dir):
-    counts = visits.user_domain_counts(tables.web_visits(spark, sf_dir))
-    return domains.domain_totals(counts).orderBy(F.desc("count"))
+    return domains.domain_counts(tables.web_visits(spark, sf_dir)).orderBy(F.desc("count"))
 
 
 def _top(spark, sf_dir):
-    counts = visits.user_domain_counts(tables.web_visits(spark, sf_dir))
-    return domains.top_domains(domains.domain_totals(counts), TOP_N)
+    counts = domains.domain_counts(tables.web_visits(spark, sf_dir))
+    return domains.top_domains(counts, TOP_N)
 
 
 @query
@@ -716,7 +715,7 @@ def fixed_standardize(spark, sf_dir):
 @query
 def train_gender_age(spark, sf_dir):
     """Train on all labelled visits, store and load the model, score every user."""
-    model = gender_age.train(tables.labelled_visits(spark, sf_dir))
+    model = gender_age.train_counts(tables.labelled_counts(spark, sf_dir))
     path = shared_path(spark, "gender-age-model")
     gender_age.save(model, path)
     counts = visits.user_domain_counts(tables.web_visits(spark, sf_dir))
@@ -733,7 +732,7 @@ def grid_search(spark, sf_dir):
 @query
 def gbt_churn(spark, sf_dir):
     parts = tabular_study.tree_parts(tables.study(spark, sf_dir), STUDY)
-    model = tabular_study.fit_boosted(parts.train)
+    model = tabular_study.fit_boosted(parts.train, parts.test, maxBins=parts.max_bins)
     return tabular_study.predictions(model, parts.test, "doc_id")
 
 
@@ -741,7 +740,11 @@ def gbt_churn(spark, sf_dir):
 def gbt_grid(spark, sf_dir):
     parts = tabular_study.tree_parts(tables.study(spark, sf_dir), STUDY)
     model = tabular_study.search_boosted(
-        parts.train, depths=(4, 6), leaf_penalties=(1.0, 9.0), max_iter=10
+        parts.train,
+        depths=(4, 6),
+        leaf_penalties=(1.0, 9.0),
+        max_iter=10,
+        maxBins=parts.max_bins,
     )
     return tabular_study.hold_out_auc(model, parts.test, "doc_id")
 
@@ -811,7 +814,7 @@ def stream_tokens_stateful(spark, sf_dir):
 
 @query
 def stream_score(spark, sf_dir):
-    model = gender_age.train(tables.labelled_visits(spark, sf_dir))
+    model = gender_age.train_counts(tables.labelled_counts(spark, sf_dir))
     path, checkpoint = shared_path(spark, "scores"), shared_path(spark, "scores-checkpoint")
     scored = scoring.score_messages(model, _messages(spark, sf_dir))
     scoring.run_available(scoring.append_to_table(scored, path, checkpoint))

@@ -20,7 +20,8 @@ def strip_www(host: Column, mode: str = "prefix") -> Column:
     character, wherever it stands. ``literal`` drops every ``www.``. ``none`` leaves the host.
     """
     if mode == "prefix":
-        return F.regexp_replace(host, r"^www\.", "")
+        # Cheaper per row than a regular expression, and stays in generated code.
+        return F.when(F.startswith(host, F.lit("www.")), F.substr(host, F.lit(5))).otherwise(host)
     if mode == "legacy":
         return F.regexp_replace(host, "www.", "")
     if mode == "literal":

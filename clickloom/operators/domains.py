@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.urls import url_domain
 from ..functions.vectors import dense_counts
 from .visits import user_domain_counts
 
@@ -11,8 +12,17 @@ from .visits import user_domain_counts
 TOP_DOMAINS = 1000
 
 
+def domain_counts(visits: DataFrame, strip: str = "prefix") -> DataFrame:
+    """Visits per domain, ``(domain, count)``; the shuffle carries one row per task and domain."""
+    return (
+        visits.select(url_domain("url", strip).alias("domain"))
+        .groupBy("domain")
+        .agg(F.count("*").alias("count"))
+    )
+
+
 def domain_totals(counts: DataFrame) -> DataFrame:
-    """Visits per domain, ``(domain, count)``, from per-user counts."""
+    """The same from per-user counts, for jobs that hold those anyway."""
     return counts.groupBy("domain").agg(F.sum("cnt").alias("count"))
 
 

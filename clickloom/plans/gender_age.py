@@ -51,21 +51,24 @@ def bag_of_domains(counts: DataFrame, terms: Sequence[str], keys: Sequence[str])
     return entries.select(*keys, vector.alias("features"))
 
 
-def train(
-    visits: DataFrame,
+def train(visits: DataFrame, strip: str = "prefix", **params) -> PipelineModel:
+    """Fit on labelled visits ``(uid, gender_age, timestamp, url)``; see `train_counts`."""
+    return train_counts(user_domain_counts(visits, strip, ("uid", TARGET)), **params)
+
+
+def train_counts(
+    counts: DataFrame,
     vocabulary_size: int = VOCABULARY_SIZE,
     max_iter: int = MAX_ITER,
     reg_param: float = REG_PARAM,
-    strip: str = "prefix",
 ) -> PipelineModel:
-    """Fit on labelled visits ``(uid, gender_age, timestamp, url)``.
+    """Fit on labelled counts ``(uid, gender_age, domain, cnt)``.
 
     The model takes rows with a token array ``domain_features`` and adds
     ``prediction_gender_age``; the label column may be absent when scoring.
     """
     keys = ("uid", TARGET)
-    labelled = visits.filter(F.col(TARGET).isNotNull())
-    counts = stage(user_domain_counts(labelled, strip, keys), "domain-counts")
+    counts = stage(counts.filter(F.col(TARGET).isNotNull()), "domain-counts")
     terms = vocabulary_terms(counts, vocabulary_size)
     users = stage(bag_of_domains(counts, terms, keys), "training-rows")
     indexer = label_indexer(users, TARGET)

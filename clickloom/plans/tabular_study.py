@@ -52,10 +52,14 @@ class Table:
 
 @dataclass(frozen=True)
 class Parts:
-    """Prepared train and test rows with their vector ``features`` and double ``label``."""
+    """Prepared train and test rows with their vector ``features`` and double ``label``.
+
+    ``max_bins`` is what a tree needs to split the widest categorical feature.
+    """
 
     train: DataFrame
     test: DataFrame
+    max_bins: int = 32
 
 
 def clean(rows: DataFrame, table: Table, fit_on: DataFrame | None = None) -> DataFrame:
@@ -119,7 +123,9 @@ def tree_parts(rows: DataFrame, table: Table) -> Parts:
         frame = _labelled(model.transform(part), table).select(table.id, "label", "features")
         return stage(frame, "tree-part")
 
-    return Parts(prepared(clean_train), prepared(clean(test, table, fit_on=train)))
+    widest = max((len(labels) + 1 for labels in model.stages[0].labelsArray), default=0)
+    test_part = prepared(clean(test, table, fit_on=train))
+    return Parts(prepared(clean_train), test_part, max(Parts.max_bins, widest))
 
 
 def _auc() -> BinaryClassificationEvaluator:
@@ -146,8 +152,17 @@ def search_logistic(train: DataFrame, c_grid: Sequence[float] = C_GRID) -> Model
     return _cross_validate(lr, grid.build(), train, _auc())
 
 
-def fit_boosted(train: DataFrame, max_iter: int = 20, **params) -> Model:
-    return GBTClassifier(maxIter=max_iter, seed=SEED, **params).fit(train)
+def fit_boosted(
+    train: DataFrame, held_out: DataFrame | None = None, max_iter: int = 20, **params
+) -> Model:
+    """Boosted trees; with ``held_out`` rows, boosting stops once they no longer improve."""
+    gbt = GBTClassifier(maxIter=max_iter, seed=SEED, **params)
+    if held_out is None:
+        return gbt.fit(train)
+    marked = train.withColumn("held_out", F.lit(False)).unionByName(
+        held_out.withColumn("held_out", F.lit(True))
+    )
+    return gbt.setValidationIndicatorCol("held_out").fit(marked)
 
 
 def search_boosted(
@@ -156,13 +171,14 @@ def search_boosted(
     depths: Sequence[int] = DEPTHS,
     leaf_penalties: Sequence[float] = LEAF_PENALTIES,
     max_iter: int = 20,
+    **params,
 ) -> Model:
     """Search of step size, depth and leaf regularisation on one held-out part.
 
     Spark's boosted trees have no leaf penalty; a least gain per split, growing with the penalty,
     takes its place.
     """
-    gbt = GBTClassifier(maxIter=max_iter, seed=SEED)
+    gbt = GBTClassifier(maxIter=max_iter, seed=SEED, **params)
     grid = (
         ParamGridBuilder()
         .addGrid(gbt.stepSize, list(learning_rates))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.times import epoch_millis, utc_date_compact
 from ..functions.urls import url_domain
+from ..operators.visits import user_domain_counts
 
 # The site categories, by length of the domain modulo 4.
 SITE_CATEGORIES = ("Arts and Entertainment", "Home-and Garden", "News", "Shopping")
@@ -66,8 +67,10 @@ def gender_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labelled_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return web_visits(spark, sf_dir).join(gender_age(spark, sf_dir), "uid")
+def labelled_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(uid, gender_age, domain, cnt)``: counted before the join, which then has no hot user."""
+    counts = user_domain_counts(web_visits(spark, sf_dir))
+    return counts.join(gender_age(spark, sf_dir), "uid")
 
 
 def shop_visits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,8 @@ from ..sources.kafka import stream_topic, write_topic_stream
 from ..sources.readers import parse_json_column
 from ..sources.schemas import WEBLOGS
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def decode_logs(messages: DataFrame) -> DataFrame:
     """``(uid, visits)`` of JSON messages in ``value``."""
@@ -57,8 +59,10 @@ def store_counts(counts: DataFrame, path: str, checkpoint: str) -> DataStreamWri
     """Writer that appends every changed count to a table; `latest_counts` reads it.
 
     Each batch has its own folder and replaces it, so a batch that runs again after a failure
-    leaves no second copy.
+    leaves no second copy. The pairs seen soon outgrow executor memory, so the session is set to
+    keep stream state on disk.
     """
+    counts.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")

@@ -80,7 +80,8 @@ def test_unknown_domain_takes_no_place(rows):
 def test_vector_equals_the_grid(spark):
     log = hot_visits(spark)
     counted = visits.user_domain_counts(log)
-    top = domains.top_domains(domains.domain_totals(counted), 10)
+    top = domains.top_domains(domains.domain_counts(log), 10)
+    assert top.collect() == domains.top_domains(domains.domain_totals(counted), 10).collect()
     grid = domains.user_domain_grid(log, top)
     assert grid.count() == 40 * 10
     joined = grid.join(counted, ["uid", "domain"], "left").na.fill(0)
