@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.vectors import log_softmax_at
-from .ranks import running_sums, with_value_bucket
+from .ranks import running_sums, value_bounds, with_value_bucket
 
 # Fixed value: probabilities are kept this far from 0 and 1 before the logarithm.
 CLIP = 1e-10
@@ -23,7 +23,7 @@ def roc_auc(rows: DataFrame, label: str, score: str) -> DataFrame:
     counts = scored.groupBy("score").agg(
         F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg")
     )
-    bucketed = with_value_bucket(counts, "score", bounds_from=scored)
+    bucketed = with_value_bucket(counts, "score", value_bounds(scored, "score"))
     ranked = running_sums(bucketed, "score", ["neg"])
     won = F.col("pos") * (F.col("before_neg") + F.col("neg") / 2.0)
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")

@@ -6,15 +6,31 @@ its start; the window then only runs inside a bucket.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..storage import stage
 
-# Hexadecimal digits of the hash that name a bucket: 16 ** 3 buckets of equal expected size.
-HASH_DIGITS = 3
-VALUE_BUCKETS = 256
+# Least and most buckets of a value order, most hash digits that name a bucket.
+VALUE_BUCKETS = (64, 1024)
+HASH_DIGITS = 4
+
+
+def _parallelism(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def value_buckets(rows: DataFrame) -> int:
+    """As many buckets as the session shuffles into, as a power of two within the limits."""
+    least, most = VALUE_BUCKETS
+    return min(most, max(least, 1 << (_parallelism(rows) - 1).bit_length()))
+
+
+def hash_digits(rows: DataFrame) -> int:
+    """Hexadecimal digits that name at least as many buckets as the session shuffles into."""
+    return min(HASH_DIGITS, max(2, len(f"{_parallelism(rows):x}")))
 
 
 def hash_key(seed: int | str, id_column: str) -> Column:
@@ -60,64 +76,84 @@ def running_sums(
     return bucketed.join(starts, [*by, "_bucket"]).select(*columns, *before)
 
 
-def with_value_bucket(
-    rows: DataFrame,
-    value: str,
-    bounds_from: DataFrame | None = None,
-    buckets: int = VALUE_BUCKETS,
-) -> DataFrame:
-    """Add ``_bucket``, the number of approximate quantiles of the column below each value.
+def value_bounds(rows: DataFrame, value: str) -> list[float]:
+    """Approximate quantiles of the column that part its rows into about equal buckets.
 
-    The quantiles come from a fixed-size sketch of ``bounds_from``, by default ``rows``. They only
-    balance the buckets; any bounds keep the order exact. ``buckets`` is a power of two and the
-    lookup a binary search in generated code.
+    Found once, by sketches merged as a tree, and constants from then on: every use of the
+    buckets sees the same bounds. They only balance the buckets; any bounds keep orders exact.
     """
-    shares = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
-    sketch = F.percentile_approx(value, F.expr(f"array({shares})"), F.lit(10_000))
-    bounds = (rows if bounds_from is None else bounds_from).agg(sketch).scalar()
-    placed = rows.withColumn("_bounds", bounds).withColumn("_bucket", F.lit(0))
-    step = buckets // 2
+    buckets = value_buckets(rows)
+    shares = [i / buckets for i in range(1, buckets)]
+    return rows.approxQuantile(value, shares, 1 / (4 * buckets))
+
+
+def _constant(number: float) -> str:
+    return f"double('{number!r}')"
+
+
+def with_value_bucket(rows: DataFrame, value: str, bounds: Sequence[float]) -> DataFrame:
+    """Add ``_bucket``, the number of bounds below each value; a binary search in generated code."""
+    placed = rows.withColumn("_bucket", F.lit(0))
+    if not bounds:
+        return placed
+    array = F.expr(f"array({', '.join(map(_constant, bounds))})")
+    step = 1 << (len(bounds).bit_length() - 1)
     while step:
-        beyond = F.get("_bounds", F.col("_bucket") + (step - 1)) < F.col(value)
-        placed = placed.withColumn("_bucket", F.col("_bucket") + F.when(beyond, step).otherwise(0))
+        bound = F.get(array, F.col("_bucket") + (step - 1))
+        further = F.when(bound < F.col(value), step).otherwise(0)
+        placed = placed.withColumn("_bucket", F.col("_bucket") + further)
         step //= 2
-    return placed.drop("_bounds")
+    return placed
+
+
+def _within_bucket(value: str, bounds: Sequence[float], bucket: int) -> Column:
+    """Whether a value lies in the bucket, as a range the scan can skip files by."""
+    inside = F.lit(True)
+    if bucket > 0:
+        inside = F.col(value) > F.expr(_constant(bounds[bucket - 1]))
+    if bucket < len(bounds):
+        inside = inside & (F.col(value) <= F.expr(_constant(bounds[bucket])))
+    return inside
 
 
 def values_at_ranks(rows: DataFrame, value: str, shares: Sequence[float]) -> DataFrame:
     """``(share, rank, low, high)``: the values at the ranks next to each share of the rows.
 
-    ``rank`` is ``share * (rows - 1)``, ``low`` and ``high`` stand at it rounded down and up. The
-    rows are counted per bucket; only those in buckets that hold a wanted rank are shuffled, and
-    of them one per distinct value.
+    ``rank`` is ``share * (rows - 1)``; ``low`` and ``high`` stand at it rounded down and up. The
+    driver sees one count per bucket. Only rows in the buckets that hold a wanted rank go on: they
+    are counted per distinct value and ordered by finer buckets of their own.
     """
-    bucketed = with_value_bucket(rows.select(value), value).withColumn("n", F.lit(1))
-    starts = _bucket_starts(bucketed, ["n"], ())
-    last = F.sum("_total_n").over(Window.partitionBy()) - 1
-    share = F.explode(F.array(*[F.lit(float(s)) for s in shares]))
-    wanted = (
-        starts.withColumn("_last", last)
-        .withColumn("share", share)
-        .withColumn("rank", F.col("share") * F.col("_last"))
-        .withColumn("_place", F.explode(F.array(F.floor("rank"), F.ceil("rank"))))
-        .filter(F.col("_place") >= F.col("_start_n"))
-        .filter(F.col("_place") < F.col("_start_n") + F.col("_total_n"))
-    )
-    # At most two buckets per share, one row each.
-    held = wanted.select("_bucket", "_start_n").distinct()
-    counts = (
-        bucketed.join(F.broadcast(held), "_bucket")
-        .groupBy("_bucket", "_start_n", value)
-        .agg(F.count("*").alias("_n"))
+    values = rows.select(value)
+    bounds = value_bounds(values, value)
+    counted = with_value_bucket(values, value, bounds).groupBy("_bucket")
+    totals = counted.agg(F.count("*").alias("n")).collect()
+    total = sum(r["n"] for r in totals)
+    wanted, start = [], 0
+    for r in sorted(totals):
+        for share in shares:
+            rank = share * (total - 1)
+            for place in {math.floor(rank), math.ceil(rank)}:
+                if start <= place < start + r["n"]:
+                    wanted.append((r["_bucket"], float(share), rank, place - start))
+        start += r["n"]
+    outer, inside = F.lit(None).cast("int"), F.lit(False)
+    for bucket in sorted({w[0] for w in wanted}):
+        here = _within_bucket(value, bounds, bucket)
+        outer, inside = F.when(here, bucket).otherwise(outer), inside | here
+    kept = values.filter(inside).withColumn("_outer", outer)
+    counts = kept.groupBy("_outer", value).agg(F.count("*").alias("n"))
+    fine = with_value_bucket(counts, value, value_bounds(kept, value))
+    placed = running_sums(fine, value, ["n"], by=["_outer"])
+    # At most two rows per share.
+    places = rows.sparkSession.createDataFrame(
+        wanted, "_outer int, share double, rank double, _place bigint"
     )
-    upto = Window.partitionBy("_bucket").orderBy(value)
-    placed = counts.withColumn("_end", F.col("_start_n") + F.sum("_n").over(upto))
-    inside = (F.col("_place") >= F.col("_end") - F.col("_n")) & (F.col("_place") < F.col("_end"))
-    hits = placed.join(
-        F.broadcast(wanted.select("_bucket", "share", "rank", "_place")), "_bucket"
-    ).filter(inside)
-    return hits.groupBy("share", "rank").agg(
-        F.min(value).alias("low"), F.max(value).alias("high")
+    hit = F.col("_place").between(F.col("before_n"), F.col("before_n") + F.col("n") - 1)
+    return (
+        placed.join(F.broadcast(places), "_outer")
+        .filter(hit)
+        .groupBy("share", "rank")
+        .agg(F.min(value).alias("low"), F.max(value).alias("high"))
     )
 
 
@@ -126,14 +162,13 @@ def hash_ranks(
     id_column: str,
     seed: int | str,
     by: Sequence[str] = (),
-    digits: int = HASH_DIGITS,
 ) -> DataFrame:
     """Add ``rank``, the 1-based place of each row in the shuffled order (within ``by``).
 
-    ``id_column`` must be unique. Raise ``digits`` for very large tables.
+    ``id_column`` must be unique.
     """
     keyed = rows.withColumn("_hash", hash_key(seed, id_column)).withColumn("_one", F.lit(1))
-    bucketed = keyed.withColumn("_bucket", F.substring("_hash", 1, digits))
+    bucketed = keyed.withColumn("_bucket", F.substring("_hash", 1, hash_digits(rows)))
     ranked = running_sums(bucketed, "_hash", ["_one"], by)
     return ranked.select(*rows.columns, (F.col("before__one") + 1).alias("rank"))
 
@@ -144,7 +179,6 @@ def hash_threshold(
     seed: int | str,
     take: Column,
     by: Sequence[str] = (),
-    digits: int = HASH_DIGITS,
 ) -> DataFrame:
     """Greatest hash among the first ``take`` rows of the shuffled order, per ``by`` group.
 
@@ -154,7 +188,7 @@ def hash_threshold(
     broadcasts them, and the rows outside the cut buckets are not shuffled.
     """
     keyed = rows.select(*by, hash_key(seed, id_column).alias("_hash")).withColumn(
-        "_bucket", F.substring("_hash", 1, digits)
+        "_bucket", F.substring("_hash", 1, hash_digits(rows))
     )
     starts = _bucket_starts(keyed.withColumn("n", F.lit(1)), ["n"], by)
     group = Window.partitionBy(*by)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..storage import stage
-from .ranks import HASH_DIGITS, hash_key, hash_ranks, hash_threshold
+from .ranks import hash_key, hash_ranks, hash_threshold
 
 
 def _hash_share(seed: int | str, id_column: str) -> Column:
@@ -23,7 +23,6 @@ def train_test_split(
     train_share: float = 0.8,
     seed: int | str = 42,
     exact: bool = True,
-    digits: int = HASH_DIGITS,
 ) -> DataFrame:
     """Add ``part``: ``train`` for ``floor(share * rows)`` rows, ``test`` for the others.
 
@@ -32,7 +31,7 @@ def train_test_split(
     """
     if exact:
         take = F.floor(F.col("total") * F.lit(train_share))
-        limit = hash_threshold(rows, id_column, seed, take, digits=digits).scalar()
+        limit = hash_threshold(rows, id_column, seed, take).scalar()
         in_train = F.coalesce(hash_key(seed, id_column) <= limit, F.lit(False))
     else:
         in_train = _hash_share(seed, id_column) < train_share
@@ -46,7 +45,6 @@ def stratified_split(
     test_share: float = 0.25,
     seed: int | str = 42,
     exact: bool = True,
-    digits: int = HASH_DIGITS,
 ) -> DataFrame:
     """Add ``part``: per label ``test`` for ``ceil(share * rows of the label)`` rows.
 
@@ -55,7 +53,7 @@ def stratified_split(
     if exact:
         take = F.ceil(F.col("total") * F.lit(test_share))
         limits = stage(
-            hash_threshold(rows, id_column, seed, take, [label], digits), "split-thresholds"
+            hash_threshold(rows, id_column, seed, take, [label]), "split-thresholds"
         )
         joined = rows.join(limits, label, "left")
         in_test = F.coalesce(hash_key(seed, id_column) <= F.col("threshold"), F.lit(False))
@@ -71,14 +69,13 @@ def epoch_batches(
     batch_size: int,
     seed: int | str = 42,
     epoch: int = 0,
-    digits: int = HASH_DIGITS,
 ) -> DataFrame:
     """Add ``batch``: the shuffled rows of one epoch in batches of equal size.
 
     Each row occurs at most once per epoch; the incomplete last batch is dropped.
     """
     total = rows.agg(F.count("*")).scalar()
-    ranked = hash_ranks(rows, id_column, f"{seed}-{epoch}", digits=digits)
+    ranked = hash_ranks(rows, id_column, f"{seed}-{epoch}")
     batch = F.floor((F.col("rank") - 1) / batch_size)
     return (
         ranked.withColumn("batch", batch)

@@ -14,9 +14,19 @@ def digest(seed, i):
     return hashlib.md5(f"{seed}-{i}".encode()).hexdigest()
 
 
-@pytest.mark.parametrize("digits", [1, 3])
-def test_hash_ranks_are_the_sorted_order(spark, digits):
-    found = ranks.hash_ranks(spark.range(500), "id", "s", digits=digits)
+def test_buckets_follow_the_session(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions, expected in [("1", (64, 2)), ("200", (256, 2)), ("20000", (1024, 4))]:
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            frame = spark.range(1)
+            assert (ranks.value_buckets(frame), ranks.hash_digits(frame)) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hash_ranks_are_the_sorted_order(spark):
+    found = ranks.hash_ranks(spark.range(500), "id", "s")
     order = [r.id for r in found.orderBy("rank").collect()]
     assert order == sorted(range(500), key=lambda i: digest("s", i))
     assert sorted(r.rank for r in found.collect()) == list(range(1, 501))
@@ -108,11 +118,17 @@ def test_quantiles(rows, data):
     assert found == pytest.approx(dict(zip(SHARES, np.quantile(known, SHARES))))
 
 
+def test_quantiles_of_nothing(rows):
+    assert stats.quantiles(rows([(None,)], "v double"), "v", [0.5]).count() == 0
+
+
 def test_running_sums_with_hot_value(rows):
     rng = np.random.default_rng(3)
     frame = rows([(float(v), int(n)) for v, n in zip(rng.permutation(500), rng.integers(0, 9, 500))],
                  "v double, n int")
-    found = ranks.running_sums(ranks.with_value_bucket(frame, "v"), "v", ["n"]).collect()
+    bucketed = ranks.with_value_bucket(frame, "v", ranks.value_bounds(frame, "v"))
+    assert bucketed.select("_bucket").distinct().count() > 50
+    found = ranks.running_sums(bucketed, "v", ["n"]).collect()
     total = 0
     for r in sorted(found, key=lambda r: r.v):
         assert r.before_n == total
