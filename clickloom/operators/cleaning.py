@@ -32,7 +32,7 @@ def impute_mean(
     """
     means = column_means(fit_on if fit_on is not None else rows, columns)
     held = rows.withColumn("_mean", means.select(F.struct(*columns)).scalar())
-    filled = {c: F.coalesce(F.col(c), F.col(f"_mean.{c}")) for c in columns}
+    filled = {c: F.coalesce(F.col(c), F.col("_mean")[c]) for c in columns}
     return held.withColumns(filled).drop("_mean")
 
 

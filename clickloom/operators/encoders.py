@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .pivots import quoted
+
 
 def label_indexer(
     rows: DataFrame, column: str, output: str = "label", order: str = "frequencyDesc"
@@ -79,15 +81,15 @@ def standardize(
         F.struct(
             *[
                 F.struct(
-                    F.avg(c).alias("mean"),
-                    F.nullif(F.stddev_pop(c), F.lit(0.0)).alias("std"),
+                    F.avg(quoted(c)).alias("mean"),
+                    F.nullif(F.stddev_pop(quoted(c)), F.lit(0.0)).alias("std"),
                 ).alias(c)
                 for c in columns
             ]
         )
     ).scalar()
     scaled = {
-        c: (F.col(c) - F.col("_stats")[c]["mean"])
+        c: (F.col(quoted(c)) - F.col("_stats")[c]["mean"])
         / F.coalesce(F.col("_stats")[c]["std"], F.lit(1.0))
         for c in columns
     }

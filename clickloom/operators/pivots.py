@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
+    """Column name that may hold dots or backticks."""
     return "`" + name.replace("`", "``") + "`"
 
 
@@ -45,7 +46,7 @@ def merge_matrices(new: DataFrame, old: DataFrame, key: str = "uid") -> DataFram
     both = new.unionByName(old, allowMissingColumns=True)
     cells = [c for c in both.columns if c != key]
     return both.groupBy(key).agg(
-        *[F.sum(F.coalesce(F.col(_quoted(c)), F.lit(0))).alias(c) for c in cells]
+        *[F.sum(F.coalesce(F.col(quoted(c)), F.lit(0))).alias(c) for c in cells]
     )
 
 

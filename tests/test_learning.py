@@ -134,6 +134,8 @@ def test_standardize_fits_on_train(rows):
     train = rows([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     test = rows([(5.0, 6.0)], "a double, b double")
     assert tuple(encoders.standardize(test, ["a", "b"], fit_on=train).first()) == (3.0, 1.0)
+    dotted = train.toDF("a.x", "b")
+    assert [r[0] for r in encoders.standardize(dotted, ["a.x"]).collect()] == [-1.0, 1.0]
 
 
 def test_cleaning(rows):
