@@ -42,6 +42,15 @@ from clickloom.sources.schemas import STORED_VISITS, WEBLOGS
 from clickloom.storage import shared_path
 from clickloom.streaming import scoring
 
+# The training-data operators and their pipeline may be absent; all else works without them.
+try:
+    import corpus_pipeline
+    from clickloom.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "clickloom.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
@@ -68,11 +77,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    if llm_queries is None:
+        return dict(_QUERIES)
+    return _QUERIES | llm_queries.queries() | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.all_queries()
+    if llm_queries is None:
+        return oracle_queries.all_queries()
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return oracle_queries.all_queries() | llm_queries.oracle_sql() | pipeline
 
 
 def _joined(array) -> F.Column:

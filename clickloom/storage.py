@@ -28,15 +28,62 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Iterative fits read the stored copy, so a lost executor costs one re-read and not the whole
     lineage.
     """
-    path = shared_path(df.sparkSession, name)
+    return _stored(df, shared_path(df.sparkSession, name))
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a stored table; nothing happens when it is gone already."""
+    folder, files = _file_system(spark, path)
+    files.delete(folder, True)
+
+
+class Workspace:
+    """Owner of staged tables: they are deleted when the ``with`` block ends.
+
+    Results that outlive the block must not read them; ``keep`` hands a table over to the caller.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._stored: list[tuple[DataFrame, str]] = []
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_path(self._spark, name)
+        stored = _stored(df, path)
+        self._stored.append((stored, path))
+        return stored
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Leave these staged tables to the caller."""
+        self._stored = [(d, p) for d, p in self._stored if all(d is not t for t in tables)]
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete staged tables that no later step reads."""
+        for stored, path in self._stored:
+            if any(stored is t for t in tables):
+                delete_path(self._spark, path)
+        self.keep(*tables)
+
+    def __exit__(self, *_) -> None:
+        self.drop(*[stored for stored, _ in self._stored])
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``, sorted; empty when ``path`` is missing."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder, files = _file_system(spark, path)
     if not files.exists(folder):
         return []
     return sorted(s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory())
