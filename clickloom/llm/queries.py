@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, language_id, quality, toxicity
+from . import bpe, decontamination, language_id, line_dedup, minhash, quality, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,22 @@ def op8_bpe(spark, sf_dir):
 def op9_quality_rules(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.apply(documents, quality.fit(documents)).drop("text", "lang")
+
+
+@_query
+def op6_minhash(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(documents)
+
+
+@_query
+def op5_line_dedup(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.line_dedup(documents)
+
+
+@_query
+def op3_decontamination(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontamination.mark(documents, table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
