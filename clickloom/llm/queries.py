@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontamination, language_id, line_dedup, minhash, quality, toxicity
+from . import bpe, decontamination, language_id, line_dedup, minhash, quality, sharding, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,8 @@ def op3_decontamination(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = decontamination.mark(documents, table(spark, sf_dir, "benchmark"))
     return marked.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+
+
+@_query
+def op1_sharding(spark, sf_dir):
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8)
