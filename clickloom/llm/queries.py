@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontamination, language_id, line_dedup, minhash, quality, sharding, toxicity
+from . import bpe, decontamination, language_id, line_dedup, minhash, pii, quality, sharding, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,13 @@ def op3_decontamination(spark, sf_dir):
 @_query
 def op1_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8)
+
+
+# On a real corpus the key is a secret of its owner; the operator takes it as an argument.
+PSEUDONYM_KEY = "a key for the synthetic tables"
+
+
+@_query
+def op10_pii(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(documents, PSEUDONYM_KEY)
