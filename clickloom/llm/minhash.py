@@ -111,7 +111,7 @@ def band_hashes(least: np.ndarray) -> np.ndarray:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(doc_id, n_shingles, set_key, bands, signature)``; no key for the empty set.
+    """``(doc_id, text_key, n_shingles, set_key, bands, signature)``; no set key for the empty set.
 
     A signature entry is kept as its lowest byte, which differing minima share in 1 of 256 cases.
     """
@@ -133,12 +133,13 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
+                batch.column(2),
                 pa.array(sizes, pa.int64()),
                 pa.array(keys, pa.binary()),
                 pa.array(bands, pa.list_(pa.int64())),
                 pa.array(signatures, pa.binary()),
             ],
-            ["doc_id", "n_shingles", "set_key", "bands", "signature"],
+            ["doc_id", "text_key", "n_shingles", "set_key", "bands", "signature"],
         )
 
 
@@ -257,20 +258,46 @@ def _open_buckets(members: DataFrame, joined: DataFrame) -> DataFrame:
     return placed.join(several, "bucket", "left_semi")
 
 
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.col(text).alias("text"),
+        F.xxhash64(text).alias("text_key"),
+    )
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row.
 
     ``component_id`` is the smallest id reachable over links, ``kept`` marks the rows that have it.
     """
-    spark = docs.sparkSession
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return _components(_keyed(docs, doc_id, text)).drop("text_key")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns; repeated rows become one."""
+    found = _components(_keyed(docs, doc_id, text)).filter("kept")
+    kept = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"))
+    keys = {"__id": F.col(doc_id).cast("long"), "__text": F.xxhash64(text)}
+    same = F.col("a.__id").eqNullSafe(F.col("b.__id")) & (F.col("a.__text") == F.col("b.__text"))
+    staying = docs.withColumns(keys).alias("a").join(kept.alias("b"), same, "left_semi")
+    return staying.dropDuplicates(list(keys)).drop(*keys)
+
+
+def _components(texts: DataFrame) -> DataFrame:
+    """``(doc_id, text_key, n_shingles, component_id, kept)`` of ``(doc_id, text, text_key)``."""
+    spark = texts.sparkSession
     described = texts.mapInArrow(
         _describe,
-        "doc_id long, n_shingles long, set_key binary, bands array<long>, signature binary",
+        "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>, "
+        "signature binary",
     )
+    texts = texts.select("doc_id", "text")
     with Workspace(spark) as work:
         rows = work.stage(described, "minhash-rows")
-        narrow = work.stage(rows.select("doc_id", "n_shingles", "set_key"), "minhash-keys")
+        narrow = work.stage(rows.select("doc_id", "text_key", "n_shingles", "set_key"), "minhash-keys")
         named = narrow.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
         class_of = work.stage(
             named.groupBy("set_key").agg(F.min("doc_id").alias("class")), "minhash-classes"
@@ -306,6 +333,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             .join(component_of, "class", "left")
             .select(
                 "doc_id",
+                "text_key",
                 "n_shingles",
                 F.when(
                     F.col("doc_id").isNotNull(), F.coalesce("component", "class", "doc_id")

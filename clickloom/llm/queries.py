@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontamination, language_id, line_dedup, minhash, pii, quality, sharding, toxicity
+from . import bpe, decontamination, language_id, line_dedup, minhash, oracle, pii, quality, sharding, toxicity, url_filters
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,24 @@ PSEUDONYM_KEY = "a key for the synthetic tables"
 def op10_pii(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(documents, PSEUDONYM_KEY)
+
+
+# The rules of the filter, and how its pages are labelled.
+URL_RULES = (
+    url_filters.Rule("net/", "block"),
+    url_filters.Rule("example.net/en/", "allow"),
+    url_filters.Rule("example.com/de/", "block"),
+    url_filters.Rule("org/fr/", "allow"),
+)
+
+
+@_query
+def op2_url_filters(spark, sf_dir):
+    """A page counts as bad when the label of the document with its id has quality 0."""
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad")
+    )
+    return url_filters.judge_urls(table(spark, sf_dir, "pages"), labels, URL_RULES)
+
+
+_ORACLE["op2_url_filters"] = oracle.url_filters(URL_RULES, url_filters.Settings())

@@ -1,16 +1,18 @@
-"""Corpus pipeline: each stage works on what the one before it kept."""
+"""Corpus pipeline: each stage works on what the one before it kept.
+
+The stages remove documents that the quality rules reject, lines that an earlier document has,
+near-duplicates, and documents with a passage of the benchmark; the last one encodes what remains.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import bpe, quality
+from clickloom.llm import bpe, decontamination, line_dedup as lines, minhash, quality
 from clickloom.llm.common import table
 from clickloom.llm.queries import vocabulary_path
 from clickloom.storage import stage
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
@@ -18,14 +20,40 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.filter("kept").select(*docs.columns)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines aligned with an earlier document go, and documents that are left without a word."""
+    found = lines.line_dedup(docs)
+    shorter = F.col("n_deleted") > 0
+    left = found.filter(~shorter | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+    length = F.when(shorter, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", length).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return minhash.drop_near_duplicates(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    marked = decontamination.mark(docs, table(spark, sf_dir, "benchmark"))
+    return marked.filter(F.size("hits") == 0).drop("hits")
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text and digests of the round trip."""
+    """Token counts of whole texts, and digests of their ids and of the decoded text."""
     return bpe.round_trip(docs, vocabulary_path()).drop("text")
 
 
-STAGES = [("quality_rules", quality_rules), ("bpe", encode)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("bpe", encode),
+]
 
-# The stages learn references and follow candidate searches; SQL cannot express them.
+# Patience alignment, MinHash, CGK search and BPE merges are beyond SQL; brute force tests them.
 ORACLE_SQL = None
 
 
