@@ -10,7 +10,7 @@ from ..functions.times import utc_date_compact
 from ..sources.readers import parse_json_column
 from ..sources.schemas import SHOP_VISITS
 from ..sources.writers import write_days
-from ..storage import stage
+from ..storage import Workspace
 
 # Event types that get a tree of their own.
 EVENT_TYPES = ("view", "buy")
@@ -26,13 +26,15 @@ def split_events(
     events: DataFrame,
     output: str,
     event_types: Sequence[str] = EVENT_TYPES,
-    land: bool = False,
+    load: str | None = None,
 ) -> None:
-    """Write ``{output}/{event_type}/$date={yyyyMMdd}`` for each event type.
+    """Write ``{output}/{event_type}/$load={load}/$date={yyyyMMdd}`` for each event type.
 
-    ``land=True`` stores the decoded events once, so that a topic is not read per event type.
+    The decoded events are stored once, so all trees come from one scan of the source and agree
+    about its messages. ``load`` names this load, see `write_days`.
     """
-    if land:
-        events = stage(events.filter(F.col("event_type").isin(*event_types)), "events")
-    for event_type in event_types:
-        write_days(events.filter(F.col("event_type") == event_type), f"{output}/{event_type}")
+    with Workspace(events.sparkSession) as work:
+        landed = work.stage(events.filter(F.col("event_type").isin(*event_types)), "events")
+        for event_type in event_types:
+            own = landed.filter(F.col("event_type") == event_type)
+            write_days(own, f"{output}/{event_type}", load=load)

@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.names import item_key
 from ..functions.times import utc_date
-from ..operators.pivots import merge_matrices, pivot_counts
+from ..operators.pivots import pivot_counts
 from ..operators.visits import union_logs
-from ..sources.readers import read_days, snapshot_before
+from ..sources.readers import file_manifest, read_days
 from ..sources.schemas import STORED_VISITS
 from ..sources.writers import write_table
+from ..storage import child_folders
 from .event_split import EVENT_TYPES
 
+# Folder with the counts of each day, next to the snapshots.
+DAY_COUNTS = "_day_counts"
+
 
 def user_item_matrix(logs: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
     """One row per user, one column ``{event_type}_{item}`` per pair that occurs."""
@@ -28,6 +32,11 @@ def snapshot_date(logs: DataFrame) -> DataFrame:
     return logs.agg(F.replace(last, F.lit("-"), F.lit("")).alias("snapshot_date"))
 
 
+def _read_events(spark: SparkSession, input_dir: str, **days) -> DataFrame:
+    trees = [read_days(spark, f"{input_dir}/{t}", STORED_VISITS, **days) for t in EVENT_TYPES]
+    return union_logs(*trees)
+
+
 def build_snapshot(
     spark: SparkSession,
     input_dir: str,
@@ -39,24 +48,91 @@ def build_snapshot(
 ) -> str:
     """Write the matrix of the stored events to ``{output_dir}/{last day}``; return that path.
 
-    With ``update`` the events in range are new ones: they are added to the newest snapshot of
-    an earlier day, if there is one. Snapshots are cumulative, so only that one is read and
-    running a day again gives the same result.
+    With ``update`` the counts of each day are kept below ``output_dir``, and only days whose event
+    files are new or have changed (within the range) are counted again. Every snapshot from the
+    first such day on is then summed anew from the counts of the days, so repeated runs, late days
+    and further loads of a day all give the matrix of the events as they are stored.
     """
-    logs = union_logs(
-        *[
-            read_days(spark, f"{input_dir}/{t}", STORED_VISITS, date_from, date_to)
-            for t in EVENT_TYPES
-        ]
-    )
+    if update:
+        return _update(spark, input_dir, output_dir.rstrip("/"), values, date_from, date_to)
+    logs = _read_events(spark, input_dir, date_from=date_from, date_to=date_to)
     day = snapshot_date(logs).first()["snapshot_date"]
     if day is None:
         raise ValueError("no events in range")
-    matrix = user_item_matrix(logs, values)
-    if update:
-        earlier = snapshot_before(spark, output_dir, day)
-        if earlier is not None:
-            matrix = merge_matrices(matrix, spark.read.parquet(earlier))
     path = f"{output_dir.rstrip('/')}/{day}"
-    write_table(matrix, path)
+    write_table(user_item_matrix(logs, values), path)
     return path
+
+
+def _day_marks(spark: SparkSession, input_dir: str) -> DataFrame:
+    """``(day, mark)``: a digest of the names, sizes and times of each day's event files."""
+    files = [
+        file_manifest(spark, f"{input_dir}/{t}", "*.json", keep=("modificationTime",))
+        for t in EVENT_TYPES
+    ]
+    one = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    return (
+        union_logs(*files)
+        .filter(F.startswith("label", F.lit("$date=")))
+        .groupBy(F.substring_index("label", "=", -1).alias("day"))
+        .agg(F.sum(one).cast("string").alias("mark"))
+    )
+
+
+def _day_counts(spark: SparkSession, path: str) -> DataFrame:
+    layout = "uid string, item string, cnt bigint, mark string, day string"
+    return spark.read.schema(layout).parquet(path)
+
+
+def _update(
+    spark: SparkSession,
+    input_dir: str,
+    output_dir: str,
+    values: Sequence[str] | None,
+    date_from: str | None,
+    date_to: str | None,
+) -> str:
+    store = f"{output_dir}/{DAY_COUNTS}"
+    marks = _day_marks(spark, input_dir)
+    if date_from is not None:
+        marks = marks.filter(F.col("day") >= date_from)
+    if date_to is not None:
+        marks = marks.filter(F.col("day") <= date_to)
+    snapshots = [d for d in child_folders(spark, output_dir) if len(d) == 8 and d.isdigit()]
+    stored = DAY_COUNTS in child_folders(spark, output_dir)
+    if stored:
+        known = _day_counts(spark, store).select("day", "mark").distinct()
+        marks = marks.join(known, ["day", "mark"], "left_anti")
+    # One line per calendar day.
+    changed = {r["day"]: r["mark"] for r in marks.collect()}
+    if not changed and not snapshots:
+        raise ValueError("no events in range")
+    if changed:
+        first, last = min(changed), max(changed)
+        events = _read_events(spark, input_dir, date_from=first, date_to=last)
+        counts = (
+            events.filter(F.col("date").isin(list(changed)))
+            .select("uid", item_key("event_type", "item_id").alias("item"), "date")
+            .dropna()
+            .groupBy("uid", "item", F.col("date").alias("day"))
+            .agg(F.count("*").alias("cnt"))
+        )
+        mark_of = spark.createDataFrame(list(changed.items()), "day string, mark string")
+        (
+            counts.join(mark_of, "day")
+            .hint("rebalance", "day")
+            .select("uid", "item", "cnt", "mark", "day")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day")
+            .parquet(store)
+        )
+    counts = _day_counts(spark, store)
+    last_day = counts.agg(F.max("day")).first()[0]
+    if last_day is None:
+        raise ValueError("no events in range")
+    stale = {d for d in snapshots if changed and d >= min(changed)} | {last_day}
+    for day in sorted(stale if changed else {last_day} - set(snapshots)):
+        until = counts.filter(F.col("day") <= day)
+        write_table(pivot_counts(until, "item", values, weight="cnt"), f"{output_dir}/{day}")
+    return f"{output_dir}/{last_day}"

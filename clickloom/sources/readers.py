@@ -104,10 +104,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return (reader if schema is None else reader.schema(schema)).csv(path)
 
 
-def file_manifest(spark: SparkSession, root: str, pattern: str = "*.jpg") -> DataFrame:
-    """``(path, file, label, length)`` of all matching files below ``root``.
+def file_manifest(
+    spark: SparkSession, root: str, pattern: str = "*.jpg", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(path, file, label, length, *keep)`` of all matching files below ``root``.
 
-    The label is the name of the folder a file lies in. File contents are not read.
+    ``keep`` may name ``modificationTime``. The label is the name of the folder a file lies in. File contents are not read.
     """
     return (
         spark.read.format("binaryFile")
@@ -119,6 +121,7 @@ def file_manifest(spark: SparkSession, root: str, pattern: str = "*.jpg") -> Dat
             file_name("path").alias("file"),
             parent_folder("path").alias("label"),
             "length",
+            *keep,
         )
     )
 

@@ -5,18 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def write_days(rows: DataFrame, path: str, date: str = "date") -> None:
-    """JSON partitioned by ``$date``, a copy of ``date``; only the days in ``rows`` are replaced.
-
-    The rebalance gathers each day into files of the advisory size: small days share no task
-    with many files, and a day holding most rows is spread over several tasks.
+def load_digest(rows: DataFrame) -> str:
+    """Name of a load made from its rows, whatever their order: the same rows, the same name."""
+    row = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in sorted(rows.columns)])
+    found = rows.agg(
+        F.count("*").alias("n"), F.sum(row.cast("decimal(38,0)")).alias("digest")
+    ).first()
+    return f"{found['n']}_{found['digest'] or 0}".replace("-", "m")
+
+
+def write_days(rows: DataFrame, path: str, date: str = "date", load: str | None = None) -> None:
+    """JSON partitioned by ``$load`` and ``$date``, a copy of ``date``.
+
+    A load replaces itself and nothing else: running it again changes nothing, and two loads that
+    share a day both stay. ``load`` names it, for instance by its range of offsets; by default a
+    digest of its rows does. The rebalance gathers each day into files of the advisory size: small
+    days share no task with many files, and a day with most rows is spread over several tasks.
     """
+    name = load if load is not None else load_digest(rows)
     (
-        rows.withColumn("$date", F.col(date))
+        rows.withColumns({"$load": F.lit(f"load_{name}"), "$date": F.col(date)})
         .hint("rebalance", F.col("`$date`"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("$date")
+        .partitionBy("$load", "$date")
         .json(path)
     )
 

@@ -65,47 +65,75 @@ def store(rows, path, *events):
     event_split.split_events(event_split.decode_events(messages), path)
 
 
-def test_split_replaces_only_its_days(spark, rows, tmp_path):
+def test_split_replaces_only_its_own_load(spark, rows, tmp_path):
     path = str(tmp_path / "out")
-    store(rows, path, ("a", "view", "c", "i", 0), ("a", "view", "c", "i", 1),
-          ("a", "buy", "c", "i", 0), ("a", "other", "c", "i", 0))
+    first = [("a", "view", "c", "i", 0), ("a", "view", "c", "i", 1),
+             ("a", "buy", "c", "i", 0), ("a", "other", "c", "i", 0)]
+    store(rows, path, *first)
     store(rows, path, ("b", "view", "c", "i", 1), ("c", "view", "c", "i", 2))
+    store(rows, path, *first)
     assert sorted(os.listdir(path)) == ["buy", "view"]
     found = readers.read_days(spark, f"{path}/view", STORED_VISITS).collect()
     assert sorted((r.uid, r.date) for r in found) == [
-        ("a", "20240101"), ("b", "20240102"), ("c", "20240103"),
+        ("a", "20240101"), ("a", "20240102"), ("b", "20240102"), ("c", "20240103"),
     ]
     part = readers.read_days(spark, f"{path}/view", STORED_VISITS, "20240102", "20240102")
-    assert [r.uid for r in part.collect()] == ["b"]
+    assert sorted(r.uid for r in part.collect()) == ["a", "b"]
 
 
-def test_landing_gives_the_same_trees(spark, rows, tmp_path):
-    events = [("a", "view", "c", "i", 0), ("a", "buy", "c", "i", 0)]
-    messages = kafka.json_messages(shop(rows, *events))
-    event_split.split_events(event_split.decode_events(messages), str(tmp_path), land=True)
-    assert readers.read_days(spark, f"{tmp_path}/buy", STORED_VISITS).count() == 1
+def test_a_named_load_is_replaced(spark, rows, tmp_path):
+    for user in ("a", "b"):
+        events = event_split.decode_events(
+            kafka.json_messages(shop(rows, (user, "view", "c", "i", 0)))
+        )
+        event_split.split_events(events, str(tmp_path), load="0-17")
+    found = readers.read_days(spark, f"{tmp_path}/view", STORED_VISITS).collect()
+    assert [r.uid for r in found] == ["b"]
+
+
+def cells(spark, path):
+    rows = [r.asDict() for r in spark.read.parquet(path).collect()]
+    return {r["uid"]: {k: v for k, v in r.items() if v} for r in rows}
 
 
-def test_matrix_update_is_repeatable(spark, rows, tmp_path):
+def test_matrix_updates_equal_the_whole_matrix(spark, rows, tmp_path):
+    """Default arguments: new days, repeated runs, a late day, a further load of a day."""
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
-    events = [
-        ("a", "view", "c", "Big-Item 1", 0), ("a", "view", "c", "Big-Item 1", 1),
-        ("b", "buy", "c", "x", 0), (None, "buy", "c", "x", 1), ("c", "buy", "c", "y", 1),
-        ("c", "buy", "c", None, 1),
+    build = user_item_matrix.build_snapshot
+    loads = [
+        [("a", "view", "c", "Big-Item 1", 0), ("b", "buy", "c", "x", 0), (None, "buy", "c", "x", 0)],
+        [("a", "view", "c", "Big-Item 1", 3), ("c", "buy", "c", None, 3)],
+        [("a", "view", "c", "Big-Item 1", 2), ("d", "buy", "c", "y", 2)],
+        [("a", "view", "c", "Big-Item 1", 3), ("e", "view", "c", "z", 3)],
     ]
-    store(rows, source, *events)
-    assert readers.snapshot_before(spark, target, "20240102") is None
+    for n, load in enumerate(loads):
+        store(rows, source, *load)
+        for _ in range(2):
+            path = build(spark, source, target, update=True)
+        assert path.endswith("/20240101" if n == 0 else "/20240104")
+        whole = build(spark, source, str(tmp_path / f"whole{n}"))
+        assert cells(spark, path) == cells(spark, whole)
+    assert cells(spark, path)["a"]["view_big_item_1"] == 4
+    assert cells(spark, f"{target}/20240101")["a"]["view_big_item_1"] == 1
+
+
+def test_late_days_reach_every_later_snapshot(spark, rows, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    build = user_item_matrix.build_snapshot
+    for day in (1, 3, 5, 2):
+        store(rows, source, ("a", "view", "c", "x", day), ("a", "buy", "c", "x", day))
+        build(spark, source, target, update=True)
+    seen = {d: cells(spark, f"{target}/{d}")["a"]["view_x"] for d in ("20240102", "20240104", "20240106")}
+    assert seen == {"20240102": 1, "20240104": 3, "20240106": 4}
+
+
+def test_matrix_of_a_range(spark, rows, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    store(rows, source, ("a", "view", "c", "x", 0), ("a", "buy", "c", "x", 1))
     build = user_item_matrix.build_snapshot
     first = build(spark, source, target, update=True, date_to="20240101")
     assert first.endswith("/20240101")
-    for _ in range(2):
-        second = build(spark, source, target, update=True, date_from="20240102")
-    assert readers.snapshot_before(spark, target, "20240103") == second
-    assert readers.snapshot_before(spark, target, "20240102") == first
-    merged = {r.uid: r.asDict() for r in spark.read.parquet(second).collect()}
-    whole = spark.read.parquet(build(spark, source, str(tmp_path / "whole"))).collect()
-    assert merged == {r.uid: r.asDict() for r in whole}
-    assert merged["a"]["view_big_item_1"] == 2 and merged["c"]["buy_y"] == 1
+    assert cells(spark, first)["a"] == {"uid": "a", "view_x": 1}
     with pytest.raises(ValueError):
         build(spark, source, target, date_from="20250101")
 
