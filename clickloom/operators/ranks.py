@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..storage import stage
+from .pivots import quoted
 
 # Least and most buckets of a value order, most hash digits that name a bucket.
 VALUE_BUCKETS = (64, 1024)
@@ -34,8 +35,23 @@ def hash_digits(rows: DataFrame) -> int:
 
 
 def hash_key(seed: int | str, id_column: str) -> Column:
-    """Reproducible shuffle key of a row."""
-    return F.md5(F.concat(F.lit(f"{seed}-"), F.col(id_column).cast("string")))
+    """Reproducible shuffle key of a row; null ids are a value of their own."""
+    text = F.coalesce(F.col(id_column).cast("string"), F.lit("\u0000"))
+    return F.md5(F.concat(F.lit(f"{seed}-"), text))
+
+
+def row_key(rows: DataFrame, seed: int | str, id_column: str) -> Column:
+    """`hash_key`, followed by a digest of the whole row that orders rows of the same id."""
+    digest = F.xxhash64(*[F.to_json(F.struct(quoted(c))) for c in rows.columns])
+    return F.concat(hash_key(seed, id_column), F.lpad(F.hex(digest), 16, "0"))
+
+
+def _same(columns: Sequence[str]) -> Column:
+    """Null-safe join condition between frames named ``a`` and ``b``."""
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(f"a.{quoted(c)}").eqNullSafe(F.col(f"b.{quoted(c)}"))
+    return same
 
 
 def _bucket_starts(rows: DataFrame, sums: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -73,7 +89,11 @@ def running_sums(
         (F.col(f"_start_{s}") + F.coalesce(F.sum(s).over(earlier), F.lit(0))).alias(f"before_{s}")
         for s in sums
     ]
-    return bucketed.join(starts, [*by, "_bucket"]).select(*columns, *before)
+    kept = [F.col(f"a.{quoted(c)}").alias(c) for c in columns]
+    joined = bucketed.alias("a").join(starts.alias("b"), _same([*by, "_bucket"]))
+    return joined.select(*kept, "a._bucket", *[f"b._start_{s}" for s in sums]).select(
+        *[quoted(c) for c in columns], *before
+    )
 
 
 def value_bounds(rows: DataFrame, value: str) -> list[float]:
@@ -165,12 +185,12 @@ def hash_ranks(
 ) -> DataFrame:
     """Add ``rank``, the 1-based place of each row in the shuffled order (within ``by``).
 
-    ``id_column`` must be unique.
+    Rows of the same or no id follow a digest of the whole row; equal rows follow each other.
     """
-    keyed = rows.withColumn("_hash", hash_key(seed, id_column)).withColumn("_one", F.lit(1))
+    keyed = rows.withColumn("_hash", row_key(rows, seed, id_column)).withColumn("_one", F.lit(1))
     bucketed = keyed.withColumn("_bucket", F.substring("_hash", 1, hash_digits(rows)))
     ranked = running_sums(bucketed, "_hash", ["_one"], by)
-    return ranked.select(*rows.columns, (F.col("before__one") + 1).alias("rank"))
+    return ranked.select(*map(quoted, rows.columns), (F.col("before__one") + 1).alias("rank"))
 
 
 def hash_threshold(
@@ -180,26 +200,34 @@ def hash_threshold(
     take: Column,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Greatest hash among the first ``take`` rows of the shuffled order, per ``by`` group.
+    """Greatest `row_key` among the first ``take`` rows of the shuffled order, per ``by`` group.
 
-    ``take`` is an expression of ``total``, the group's row count. One pass counts the buckets,
-    one ranks the rows of the single bucket the cut falls in. Groups that take nothing have no
-    row. With ``by`` the cuts are stored first: their true size then decides whether the join
-    broadcasts them, and the rows outside the cut buckets are not shuffled.
+    ``take`` is an expression of ``total``, the group's row count. The bucket of the cut is found
+    by counts, then the finer bucket in it, and only rows of that one are ranked, so the last
+    step stays small however large a bucket is. Groups that take nothing have no row. With ``by``
+    the cuts are stored first: their true size then decides whether the joins broadcast them, and
+    rows outside the cut buckets are not shuffled.
     """
-    keyed = rows.select(*by, hash_key(seed, id_column).alias("_hash")).withColumn(
-        "_bucket", F.substring("_hash", 1, hash_digits(rows))
-    )
-    starts = _bucket_starts(keyed.withColumn("n", F.lit(1)), ["n"], by)
-    group = Window.partitionBy(*by)
-    wanted = starts.withColumn("total", F.sum("_total_n").over(group)).withColumn(
-        "_left", take.cast("long") - F.col("_start_n")
-    )
-    cut = wanted.filter((F.col("_left") > 0) & (F.col("_left") <= F.col("_total_n")))
-    place = Window.partitionBy(*by, "_bucket").orderBy("_hash")
-    boundary = (
-        keyed.join(stage(cut, "cut-buckets") if by else F.broadcast(cut), [*by, "_bucket"])
-        .withColumn("_place", F.row_number().over(place))
-        .filter(F.col("_place") == F.col("_left"))
+    digits = hash_digits(rows)
+    keyed = rows.select(*map(quoted, by), row_key(rows, seed, id_column).alias("_hash"))
+    left = take.cast("long")
+    for level in range(2):
+        keyed = keyed.withColumn("_bucket", F.substring("_hash", 1 + level * digits, digits))
+        carried = ["_left"] if level else []
+        totals = _bucket_starts(keyed.withColumn("n", F.lit(1)), ["n"], [*by, *carried])
+        if not level:
+            group = Window.partitionBy(*map(quoted, by))
+            totals = totals.withColumn("total", F.sum("_total_n").over(group))
+        placed = totals.withColumn("_after", left - F.col("_start_n"))
+        cut = placed.filter((F.col("_after") > 0) & (F.col("_after") <= F.col("_total_n")))
+        cut = cut.select(*map(quoted, by), "_bucket", F.col("_after").alias("_left"))
+        cut = stage(cut, "cut-buckets") if by else F.broadcast(cut)
+        inside = keyed.drop("_left").alias("a").join(cut.alias("b"), _same([*by, "_bucket"]))
+        groups = [F.col(f"a.{quoted(c)}").alias(c) for c in by]
+        keyed = inside.select(*groups, "a._hash", "a._bucket", "b._left")
+        left = F.col("_left")
+    place = Window.partitionBy(*map(quoted, by), "_bucket").orderBy("_hash")
+    boundary = keyed.withColumn("_place", F.row_number().over(place))
+    return boundary.filter("_place = _left").select(
+        *map(quoted, by), F.col("_hash").alias("threshold")
     )
-    return boundary.select(*by, F.col("_hash").alias("threshold"))

@@ -1,6 +1,7 @@
 """Reproducible splits and epoch batches in the order of a seeded hash.
 
-The order depends on the seed and the row ids only, never on partitions or retries.
+The order depends on the seed and the rows only, never on partitions or retries. Null and repeated
+ids are ordered by a digest of the whole row; rows that are equal throughout are not told apart.
 """
 
 from __future__ import annotations
@@ -8,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..storage import stage
-from .ranks import hash_key, hash_ranks, hash_threshold
+from .pivots import quoted
+from .ranks import hash_key, hash_ranks, hash_threshold, row_key
 
 
 def _hash_share(seed: int | str, id_column: str) -> Column:
@@ -32,7 +34,7 @@ def train_test_split(
     if exact:
         take = F.floor(F.col("total") * F.lit(train_share))
         limit = hash_threshold(rows, id_column, seed, take).scalar()
-        in_train = F.coalesce(hash_key(seed, id_column) <= limit, F.lit(False))
+        in_train = F.coalesce(row_key(rows, seed, id_column) <= limit, F.lit(False))
     else:
         in_train = _hash_share(seed, id_column) < train_share
     return rows.withColumn("part", F.when(in_train, "train").otherwise("test"))
@@ -48,17 +50,20 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``part``: per label ``test`` for ``ceil(share * rows of the label)`` rows.
 
-    Each label has one threshold hash; a label holding most rows costs no more than others.
+    Each label has one threshold hash; a label holding most rows costs no more than others. Rows
+    without a label are a stratum of their own.
     """
     if exact:
         take = F.ceil(F.col("total") * F.lit(test_share))
         limits = stage(
             hash_threshold(rows, id_column, seed, take, [label]), "split-thresholds"
         )
-        joined = rows.join(limits, label, "left")
-        in_test = F.coalesce(hash_key(seed, id_column) <= F.col("threshold"), F.lit(False))
+        limits = limits.select(F.col(quoted(label)).alias("_label"), "threshold")
+        keyed = rows.withColumn("_key", row_key(rows, seed, id_column))
+        joined = keyed.join(limits, F.col(quoted(label)).eqNullSafe(F.col("_label")), "left")
+        in_test = F.coalesce(F.col("_key") <= F.col("threshold"), F.lit(False))
         part = F.when(in_test, "test").otherwise("train").alias("part")
-        return joined.select(*rows.columns, part)
+        return joined.select(*map(quoted, rows.columns), part)
     in_test = _hash_share(seed, id_column) < test_share
     return rows.withColumn("part", F.when(in_test, "test").otherwise("train"))
 
@@ -69,16 +74,17 @@ def epoch_batches(
     batch_size: int,
     seed: int | str = 42,
     epoch: int = 0,
+    keep_last: bool = False,
 ) -> DataFrame:
     """Add ``batch``: the shuffled rows of one epoch in batches of equal size.
 
-    Each row occurs at most once per epoch; the incomplete last batch is dropped.
+    Each row occurs at most once per epoch; an incomplete last batch stays with ``keep_last``.
     """
     total = rows.agg(F.count("*")).scalar()
     ranked = hash_ranks(rows, id_column, f"{seed}-{epoch}")
     batch = F.floor((F.col("rank") - 1) / batch_size)
     return (
         ranked.withColumn("batch", batch)
-        .filter((F.col("batch") + 1) * batch_size <= total)
+        .filter(F.lit(keep_last) | ((F.col("batch") + 1) * batch_size <= total))
         .drop("rank")
     )

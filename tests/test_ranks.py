@@ -164,3 +164,35 @@ def test_small_statistics(rows):
     history = rows([(1, 0.5, 4), (2, 0.75, 4), (3, 0.75, 2)], "epoch int, acc double, n int")
     assert stats.best_row(history, "acc", "epoch").first().epoch == 2
     assert stats.weighted_mean(history, "acc", "n").first().acc == pytest.approx(0.65)
+
+
+def with_nulls(rows):
+    ids = [i if i % 20 else None for i in range(100)]
+    data = [(i, n, "x" if n < 60 else "y" if n < 90 else None) for n, i in enumerate(ids)]
+    return rows(data, "id long, n int, label string")
+
+
+def test_null_ids_keep_exact_sizes(rows):
+    frame = with_nulls(rows)
+    assert sorted(r["rank"] for r in ranks.hash_ranks(frame, "id", 1).collect()) == list(range(1, 101))
+    parts = splits.train_test_split(frame, "id").groupBy("part").count().collect()
+    assert {r.part: r["count"] for r in parts} == {"train": 80, "test": 20}
+    batches = splits.epoch_batches(frame, "id", 10).groupBy("batch").count().collect()
+    assert [r["count"] for r in batches] == [10] * 10
+    kept = splits.epoch_batches(frame, "id", 30, keep_last=True).groupBy("batch").count().collect()
+    assert sorted(r["count"] for r in kept) == [10, 30, 30, 30]
+
+
+def test_null_labels_are_a_stratum(rows):
+    found = splits.stratified_split(with_nulls(rows), "id", "label", test_share=0.5)
+    sizes = {(r.label, r.part): r["count"] for r in found.groupBy("label", "part").count().collect()}
+    assert sizes == {
+        ("x", "test"): 30, ("x", "train"): 30, ("y", "test"): 15, ("y", "train"): 15,
+        (None, "test"): 5, (None, "train"): 5,
+    }
+
+
+def test_repeated_ids_keep_exact_sizes(rows):
+    frame = rows([(i % 10, i) for i in range(100)], "id long, n int")
+    parts = splits.train_test_split(frame, "id", 0.37).groupBy("part").count().collect()
+    assert {r.part: r["count"] for r in parts} == {"train": 37, "test": 63}
