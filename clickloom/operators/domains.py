@@ -42,24 +42,17 @@ def vocabulary(top: DataFrame) -> DataFrame:
     return top.agg(F.array_sort(F.collect_list("domain")).alias("domains"))
 
 
-def user_domain_grid(users: DataFrame, top: DataFrame) -> DataFrame:
-    """Every user with every top domain.
+def user_domain_grid(counts: DataFrame, top: DataFrame) -> DataFrame:
+    """``(uid, domain, position, cnt)``: the top domains each user visited.
 
-    The vocabulary reaches the users as one array value, so the grid is a generator on the user
-    rows and never a join.
+    ``position`` is the 1-based place of the domain in the alphabetical vocabulary, which is what
+    numbering every user's full list of top domains would give. Pairs without a visit are not
+    written out: users times domains would grow with both.
     """
-    domains = vocabulary(top).scalar()
-    known = users.select("uid").filter(F.col("uid").isNotNull()).distinct()
-    return known.select("uid", F.explode(domains).alias("domain"))
-
-
-def domain_positions(grid: DataFrame) -> DataFrame:
-    """Grid with the 1-based alphabetical position of each domain within its user.
-
-    A window partition holds one user's grid rows, at most the vocabulary.
-    """
-    window = Window.partitionBy("uid").orderBy("domain")
-    return grid.withColumn("position", F.row_number().over(window))
+    places = vocabulary(top).select(F.posexplode("domains").alias("place", "domain"))
+    return counts.join(places, "domain").select(
+        "uid", "domain", (F.col("place") + 1).alias("position"), "cnt"
+    )
 
 
 def domain_vector(
@@ -71,7 +64,8 @@ def domain_vector(
     """``(uid, domain_features)``: visits of each user to the ``n`` top domains, in alphabetical
     order of the domains.
 
-    Every user with a visit gets a vector, also one of zeros; ``users`` adds users without any.
+    Every user with a visit gets a vector, also one of zeros; with ``users`` those users get one
+    and no others.
     Only counted (user, domain) pairs are shuffled. The positions of the at most ``n`` domains
     are broadcast, so ``n`` bounds both the broadcast and each user's collected entries.
     """

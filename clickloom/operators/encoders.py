@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .pivots import quoted
+from .pivots import listed, quoted
 
 
 def label_indexer(
@@ -35,8 +35,9 @@ def label_vocabulary(rows: DataFrame, column: str) -> DataFrame:
 def one_hot(rows: DataFrame, levels: dict[str, Sequence[str]]) -> DataFrame:
     """Replace each categorical column by one 0/1 column ``{column}_{level}`` per level.
 
-    No level is dropped; a value outside the levels and a null give zeros.
+    No level is dropped and a null gives zeros; a value outside the levels is an error.
     """
+    rows = rows.withColumns({c: listed(c, values) for c, values in levels.items()})
     others = [c for c in rows.columns if c not in levels]
     flags = [
         F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")

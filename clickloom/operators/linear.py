@@ -29,15 +29,17 @@ def elastic_net_gradient(
 ) -> DataFrame:
     """``(pos, gradient)`` of the penalised mean log-loss at the given weights, bias at 0.
 
-    The bias is not penalised. Each dimension is one group and its sums run map-side, so the
-    shuffle carries one row per task and dimension.
+    The bias is not penalised. One aggregate with a mean per dimension reads each row once, and
+    the shuffle carries one row per task.
     """
-    residual = (logistic_score(features, weights) - F.col(label)).alias("r")
-    terms = rows.select(residual, F.posexplode(with_bias(features)).alias("pos", "x"))
+    residual = logistic_score(features, weights) - F.col(label)
+    terms = rows.select(residual.alias("r"), with_bias(features).alias("x"))
+    means = [F.avg(F.col("r") * F.get("x", F.lit(j))) for j in range(len(weights))]
     w = F.get(double_array(weights), F.col("pos"))
     penalty = F.when(F.col("pos") > 0, l1 * F.signum(w) + 2 * l2 * w).otherwise(0.0)
-    means = terms.groupBy("pos").agg(F.avg(F.col("r") * F.col("x")).alias("mean"))
-    return means.select("pos", (F.col("mean") + penalty).alias("gradient"))
+    found = terms.agg(F.array(*means).alias("means"))
+    spread = found.select(F.posexplode("means").alias("pos", "mean"))
+    return spread.select("pos", (F.col("mean") + penalty).alias("gradient"))
 
 
 def batch_losses(

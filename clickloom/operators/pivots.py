@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def quoted(name: str) -> str:
@@ -12,6 +12,13 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def listed(column: str, values: Sequence[str]) -> Column:
+    """The column, failing the job on a value that is neither null nor listed."""
+    value = F.col(quoted(column))
+    text = F.concat(F.lit(f"{column} outside its list: "), value.cast("string"))
+    return F.when(value.isNull() | value.isin(list(values)), value).otherwise(F.raise_error(text))
+
+
 def pivot_counts(
     rows: DataFrame,
     column: str,
@@ -24,9 +31,12 @@ def pivot_counts(
     With ``values`` the schema is fixed and no job is needed to find it. Without it Spark looks
     the distinct values up and refuses more than ``spark.sql.pivotMaxValues``; `long_counts` has
     no such limit. ``weight`` names a column of counts to add up instead of counting rows.
-    Null keys and null values are left out.
+    Null keys and null values are left out; a value outside ``values`` is an error, as its rows
+    would be lost.
     """
     known = rows.filter(F.col(key).isNotNull() & F.col(column).isNotNull())
+    if values is not None:
+        known = known.withColumn(column, listed(column, values))
     pivot = known.groupBy(key).pivot(column, list(values) if values is not None else None)
     cell = F.sum(weight) if weight else F.count(F.lit(1))
     return pivot.agg(cell).na.fill(0)

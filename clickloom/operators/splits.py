@@ -13,7 +13,7 @@ from .pivots import quoted
 from .ranks import hash_key, hash_ranks, hash_threshold, row_key
 
 
-def _hash_share(seed: int | str, id_column: str) -> Column:
+def hash_share(seed: int | str, id_column: str) -> Column:
     """The first 32 bits of the row's hash as a number in [0, 1)."""
     head = F.conv(F.substring(hash_key(seed, id_column), 1, 8), 16, 10)
     return head.cast("double") / float(2**32)
@@ -36,7 +36,7 @@ def train_test_split(
         limit = hash_threshold(rows, id_column, seed, take).scalar()
         in_train = F.coalesce(row_key(rows, seed, id_column) <= limit, F.lit(False))
     else:
-        in_train = _hash_share(seed, id_column) < train_share
+        in_train = hash_share(seed, id_column) < train_share
     return rows.withColumn("part", F.when(in_train, "train").otherwise("test"))
 
 
@@ -64,7 +64,7 @@ def stratified_split(
         in_test = F.coalesce(F.col("_key") <= F.col("threshold"), F.lit(False))
         part = F.when(in_test, "test").otherwise("train").alias("part")
         return joined.select(*map(quoted, rows.columns), part)
-    in_test = _hash_share(seed, id_column) < test_share
+    in_test = hash_share(seed, id_column) < test_share
     return rows.withColumn("part", F.when(in_test, "test").otherwise("train"))
 
 

@@ -23,11 +23,14 @@ TARGET = "gender_age"
 
 
 def vocabulary_terms(counts: DataFrame, size: int = VOCABULARY_SIZE) -> list[str]:
-    """The most frequent domains, at most ``size``; ties in alphabetical order.
+    """All domains, the most frequent first; ties in alphabetical order.
 
-    A fitted bag-of-words model holds its terms on the driver, so ``size`` bounds this list.
+    A fitted bag-of-words model holds its terms on the driver, so more than ``size`` domains are
+    refused; pass the counts of the domains that shall be terms.
     """
-    rows = top_domains(domain_totals(counts), size).collect()
+    rows = top_domains(domain_totals(counts), size + 1).collect()
+    if len(rows) > size:
+        raise ValueError(f"more than {size} domains for the vocabulary")
     rows.sort(key=lambda r: (-r["count"], r["domain"]))
     return [r["domain"] for r in rows]
 

@@ -23,13 +23,16 @@ def fit_head(
     ``labels_from`` holds all labelled rows: one encoder, alphabetical, serves every part.
     """
     encoder = label_indexer(labels_from, label, "label_index", "alphabetAsc")
-    encoder.setHandleInvalid("keep")
     head = LogisticRegression(
         featuresCol="vector", labelCol="label_index", family="multinomial", maxIter=max_iter
     )
     names = IndexToString(inputCol="prediction", outputCol="predicted", labels=encoder.labels)
     vectors = train.withColumn("vector", array_to_vector("features"))
+    # Rows without a label are not learned from. Only once the training rows have their classes
+    # may scoring meet unknown labels; else these would count as one more class.
+    encoder.setHandleInvalid("skip")
     prepared = stage(encoder.transform(vectors).select("label_index", "vector"), "head-train")
+    encoder.setHandleInvalid("keep")
     return PipelineModel(stages=[encoder, head.fit(prepared), names])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline
@@ -17,14 +18,14 @@ from pyspark.ml.evaluation import (
 )
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.cleaning import coerce_numeric, impute_mean
 from ..operators.encoders import observed_levels, one_hot, standardize
 from ..operators.linear import inverse_strength
 from ..operators.metrics import roc_auc
-from ..operators.splits import train_test_split
+from ..operators.splits import hash_share, train_test_split
 from ..storage import stage
 
 # The grids searched, folds, split share and seed.
@@ -34,6 +35,8 @@ DEPTHS = (4, 6, 10)
 LEAF_PENALTIES = (1.0, 3.0, 5.0, 7.0, 9.0)
 TREE_COUNTS = (50, 100, 500, 1000, 2000)
 FOLDS = 5
+# Boosting rounds unless the caller sets another number.
+BOOSTING_ROUNDS = 20
 TRAIN_SHARE = 0.8
 SEED = 42
 PARALLELISM = 4
@@ -132,30 +135,60 @@ def _auc() -> BinaryClassificationEvaluator:
     return BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
 
 
-def _cross_validate(estimator: Estimator, grid: list, train: DataFrame, evaluator) -> Model:
+def with_folds(rows: DataFrame, id_column: str, folds: int = FOLDS) -> DataFrame:
+    """Add ``fold``, from 0 on, by a seeded hash of the id: the same however rows are partitioned."""
+    share = hash_share(f"fold-{SEED}", id_column)
+    return rows.withColumn("fold", F.floor(share * folds).cast("int"))
+
+
+def _cross_validate(
+    estimator: Estimator, grid: list, train: DataFrame, evaluator, id_column: str
+) -> CrossValidatorModel:
     validator = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=grid,
         evaluator=evaluator,
         numFolds=FOLDS,
+        foldCol="fold",
         parallelism=PARALLELISM,
         seed=SEED,
     )
-    return validator.fit(train)
+    return validator.fit(with_folds(train, id_column))
+
+
+def search_results(spark, grid: list, scores: Sequence[float]) -> DataFrame:
+    """One row per grid point: its parameters, its mean score, and whether it is the best."""
+    best = max(scores)
+    rows = []
+    for n, (point, score) in enumerate(zip(grid, scores)):
+        named = ", ".join(
+            f"{p.name}={v}" for p, v in sorted(point.items(), key=lambda x: x[0].name)
+        )
+        rows.append((n, named, float(score), score == best))
+    # At most one row per point of the caller's grid.
+    return spark.createDataFrame(rows, "point int, params string, score double, best boolean")
+
 
+def search_logistic(
+    train: DataFrame, id_column: str, c_grid: Sequence[float] = C_GRID
+) -> CrossValidatorModel:
+    """Five-fold search of the inverse regularisation strength by ROC-AUC.
 
-def search_logistic(train: DataFrame, c_grid: Sequence[float] = C_GRID) -> Model:
-    """Five-fold search of the inverse regularisation strength by ROC-AUC."""
-    n = train.count()
+    The strength counts against the rows a fold is fitted on, which are all but one part.
+    """
+    n = train.count() * (FOLDS - 1) / FOLDS
     lr = LogisticRegression(standardization=False)
     grid = ParamGridBuilder().addGrid(lr.regParam, [inverse_strength(c, n) for c in c_grid])
-    return _cross_validate(lr, grid.build(), train, _auc())
+    return _cross_validate(lr, grid.build(), train, _auc(), id_column)
 
 
 def fit_boosted(
-    train: DataFrame, held_out: DataFrame | None = None, max_iter: int = 20, **params
+    train: DataFrame, held_out: DataFrame | None = None, max_iter: int = BOOSTING_ROUNDS, **params
 ) -> Model:
-    """Boosted trees; with ``held_out`` rows, boosting stops once they no longer improve."""
+    """Boosted trees; with ``held_out`` rows, boosting stops once they no longer improve.
+
+    These rows steer the fit, so they must not be the rows the model is judged by.
+    """
     gbt = GBTClassifier(maxIter=max_iter, seed=SEED, **params)
     if held_out is None:
         return gbt.fit(train)
@@ -165,15 +198,25 @@ def fit_boosted(
     return gbt.setValidationIndicatorCol("held_out").fit(marked)
 
 
+@dataclass(frozen=True)
+class Search:
+    """Grid points with their scores on held-out rows, and the model of the best one."""
+
+    grid: list
+    scores: list[float]
+    best: Model
+
+
 def search_boosted(
     train: DataFrame,
+    id_column: str,
     learning_rates: Sequence[float] = LEARNING_RATES,
     depths: Sequence[int] = DEPTHS,
     leaf_penalties: Sequence[float] = LEAF_PENALTIES,
-    max_iter: int = 20,
+    max_iter: int = BOOSTING_ROUNDS,
     **params,
-) -> Model:
-    """Search of step size, depth and leaf regularisation on one held-out part.
+) -> Search:
+    """Search of step size, depth and leaf regularisation on one held-out fold.
 
     Spark's boosted trees have no leaf penalty; a least gain per split, growing with the penalty,
     takes its place.
@@ -186,26 +229,37 @@ def search_boosted(
         .addGrid(gbt.minInfoGain, [p / 1000 for p in leaf_penalties])
         .build()
     )
-    search = TrainValidationSplit(
-        estimator=gbt,
-        estimatorParamMaps=grid,
-        evaluator=_auc(),
-        trainRatio=TRAIN_SHARE,
-        parallelism=PARALLELISM,
-        seed=SEED,
-    )
-    return search.fit(train)
+    folded = with_folds(train, id_column)
+    fitted, held = folded.filter("fold > 0"), folded.filter("fold = 0")
+    scores: list[float] = [0.0] * len(grid)
+    models: list[Model | None] = [None] * len(grid)
+    points = gbt.fitMultiple(fitted, grid)
+
+    def one(_) -> None:
+        n, model = next(points)
+        models[n], scores[n] = model, _auc().evaluate(model.transform(held))
+
+    with ThreadPoolExecutor(PARALLELISM) as pool:
+        list(pool.map(one, grid))
+    best = gbt.copy(grid[scores.index(max(scores))]).fit(train)
+    return Search(grid, scores, best)
 
 
-def search_forest(train: DataFrame, tree_counts: Sequence[int] = TREE_COUNTS) -> Model:
+def search_forest(
+    train: DataFrame, id_column: str, tree_counts: Sequence[int] = TREE_COUNTS
+) -> CrossValidatorModel:
     """Five-fold search of the number of trees by ROC-AUC."""
     forest = RandomForestClassifier(seed=SEED)
     grid = ParamGridBuilder().addGrid(forest.numTrees, list(tree_counts)).build()
-    return _cross_validate(forest, grid, train, _auc())
+    return _cross_validate(forest, grid, train, _auc(), id_column)
 
 
 def cross_validated_accuracy(
-    rows: DataFrame, features: Sequence[str], label: str, estimator: LogisticRegression
+    rows: DataFrame,
+    features: Sequence[str],
+    label: str,
+    estimator: LogisticRegression,
+    id_column: str,
 ) -> list[float]:
     """Mean accuracy over five folds of a scaler and a classifier, fitted anew in each fold."""
     pipeline = Pipeline(
@@ -217,7 +271,8 @@ def cross_validated_accuracy(
     )
     evaluator = MulticlassClassificationEvaluator(metricName="accuracy")
     labelled = rows.withColumn("label", F.col(label).cast("double"))
-    return [float(v) for v in _cross_validate(pipeline, [{}], labelled, evaluator).avgMetrics]
+    found = _cross_validate(pipeline, [{}], labelled, evaluator, id_column)
+    return [float(v) for v in found.avgMetrics]
 
 
 def predictions(model: Model, rows: DataFrame, id_column: str) -> DataFrame:

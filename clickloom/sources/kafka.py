@@ -8,33 +8,64 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 
-def starting_offsets(topic: str, offset: str | int | dict[int, int] = "earliest") -> str:
-    """``earliest`` or ``latest`` as they are; a number for partition 0; or one per partition."""
-    if offset in ("earliest", "latest"):
+# What Kafka's reader takes for the ends of a partition.
+ENDS = {"earliest": -2, "latest": -1}
+Offset = str | int | dict[int, int]
+
+
+def offsets(topic: str, offset: Offset = "earliest", partitions: int = 1) -> str:
+    """``earliest`` or ``latest`` as they are; a number for every partition; or one per partition.
+
+    Spark wants all partitions of the topic named. Partitions a dict leaves out start at the
+    earliest message.
+    """
+    if offset in ENDS:
         return offset
-    if not isinstance(offset, dict):
-        offset = {0: int(offset)}
-    per_partition = {str(p): int(o) for p, o in sorted(offset.items())}
+    if isinstance(offset, dict):
+        named = {int(p): ENDS.get(o, o) for p, o in offset.items()}
+        given = {p: ENDS["earliest"] for p in range(partitions)} | named
+    else:
+        given = dict.fromkeys(range(partitions), int(offset))
+    per_partition = {str(p): int(o) for p, o in sorted(given.items())}
     return json.dumps({topic: per_partition}, separators=(",", ":"))
 
 
 def kafka_options(
-    servers: str, topic: str, offset: str | int | dict[int, int] = "earliest"
+    servers: str,
+    topic: str,
+    offset: Offset = "earliest",
+    partitions: int = 1,
+    until: Offset | None = None,
+    **options,
 ) -> dict[str, str]:
-    return {
+    """Options of a read. ``until`` bounds a batch read; ``options`` are passed on by name, such as
+    ``maxOffsetsPerTrigger``, ``minPartitions`` or, with underscores for dots, security settings."""
+    known = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": starting_offsets(topic, offset),
+        "startingOffsets": offsets(topic, offset, partitions),
     }
+    if until is not None:
+        known["endingOffsets"] = offsets(topic, until, partitions)
+    return known | {k.replace("_", "."): str(v) for k, v in options.items()}
+
 
+def read_topic(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
+    """All messages from the offset up to ``until``, or now; see `kafka_options`."""
+    return spark.read.format("kafka").options(**kafka_options(servers, topic, **options)).load()
 
-def read_topic(spark: SparkSession, servers: str, topic: str, offset="earliest") -> DataFrame:
-    """All messages from the offset up to now."""
-    return spark.read.format("kafka").options(**kafka_options(servers, topic, offset)).load()
 
+def stream_topic(
+    spark: SparkSession, servers: str, topic: str, max_per_trigger: int = 1_000_000, **options
+) -> DataFrame:
+    """Stream of the messages from the offset on.
 
-def stream_topic(spark: SparkSession, servers: str, topic: str, offset="earliest") -> DataFrame:
-    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, offset)).load()
+    A micro-batch takes at most ``max_per_trigger`` messages, so a topic's history is worked off in
+    bounded steps; see `kafka_options`.
+    """
+    options = {"maxOffsetsPerTrigger": max_per_trigger} | options
+    found = kafka_options(servers, topic, **options)
+    return spark.readStream.format("kafka").options(**found).load()
 
 
 def json_messages(rows: DataFrame, topic: str | None = None) -> DataFrame:

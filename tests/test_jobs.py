@@ -17,14 +17,21 @@ T0 = 1_704_067_200_000  # 2024-01-01
 
 
 def test_starting_offsets():
-    assert kafka.starting_offsets("t") == "earliest"
-    assert kafka.starting_offsets("t", "latest") == "latest"
-    assert kafka.starting_offsets("t", "17") == '{"t":{"0":17}}'
-    assert kafka.starting_offsets("t", {1: 5, 0: 7}) == '{"t":{"0":7,"1":5}}'
-    assert kafka.kafka_options("h:1", "t", 3) == {
+    assert kafka.offsets("t") == "earliest"
+    assert kafka.offsets("t", "latest") == "latest"
+    assert kafka.offsets("t", "17") == '{"t":{"0":17}}'
+    assert kafka.offsets("t", 17, 3) == '{"t":{"0":17,"1":17,"2":17}}'
+    assert kafka.offsets("t", {1: 5, 0: "latest"}, 3) == '{"t":{"0":-1,"1":5,"2":-2}}'
+    options = kafka.kafka_options(
+        "h:1", "t", 3, until={0: 9}, maxOffsetsPerTrigger=10, kafka_security_protocol="SSL"
+    )
+    assert options == {
         "kafka.bootstrap.servers": "h:1",
         "subscribe": "t",
         "startingOffsets": '{"t":{"0":3}}',
+        "endingOffsets": '{"t":{"0":9}}',
+        "maxOffsetsPerTrigger": "10",
+        "kafka.security.protocol": "SSL",
     }
 
 
@@ -238,8 +245,9 @@ def test_running_counts_over_batches(spark, rows, tmp_path):
     for logs in (LOGS_1, LOGS_2, LOGS_1):
         messages(spark, rows, source, logs)
         counts = scoring.running_counts(spark.readStream.text(source))
-        scoring.run_available(scoring.store_counts(counts, out, checkpoint))
-    found = {(r.uid, r.domain): r.cnt for r in scoring.latest_counts(spark, out).collect()}
+        store_ = scoring.CountStore(spark, out, "run", compact_every=2)
+        scoring.run_available(scoring.store_counts(counts, store_, checkpoint))
+    found = {(r.uid, r.domain): r.cnt for r in store_.read().collect()}
     assert found == {
         ("a", "hot.com"): 3, ("a", None): 2, ("a", "d4.org"): 1, ("b", "d1.org"): 2,
     }
@@ -249,8 +257,9 @@ def test_running_counts_per_period(spark, rows, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     messages(spark, rows, source, LOGS_1 + LOGS_2)
     counts = scoring.running_counts(spark.readStream.text(source), period="1 day")
-    scoring.run_available(scoring.store_counts(counts, out, checkpoint))
-    found = scoring.latest_counts(spark, out).filter("domain = 'hot.com'").collect()
+    store_ = scoring.CountStore(spark, out, "run")
+    scoring.run_available(scoring.store_counts(counts, store_, checkpoint))
+    found = store_.read().filter("domain = 'hot.com'").collect()
     assert sorted((str(r.period), r.cnt) for r in found) == [
         ("2024-01-01 00:00:00", 1), ("2024-01-02 00:00:00", 1),
     ]

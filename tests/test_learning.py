@@ -123,11 +123,13 @@ def test_label_order(rows):
 def test_one_hot(rows):
     frame = rows([(1, "x"), (2, "y"), (3, None), (4, "z")], "id int, c string")
     assert encoders.observed_levels(frame, ["c"]) == {"c": ["x", "y", "z"]}
-    found = encoders.one_hot(frame, {"c": ["x", "y"]})
-    assert found.columns == ["id", "c_x", "c_y"]
+    found = encoders.one_hot(frame, {"c": ["x", "y", "z"]})
+    assert found.columns == ["id", "c_x", "c_y", "c_z"]
     assert sorted(tuple(r) for r in found.collect()) == [
-        (1, 1, 0), (2, 0, 1), (3, 0, 0), (4, 0, 0),
+        (1, 1, 0, 0), (2, 0, 1, 0), (3, 0, 0, 0), (4, 0, 0, 1),
     ]
+    with pytest.raises(Exception, match="outside its list: z"):
+        encoders.one_hot(frame, {"c": ["x", "y"]}).collect()
 
 
 def test_standardize_fits_on_train(rows):

@@ -35,7 +35,7 @@ def test_linear_parts_are_scaled_by_train(linear_parts):
 
 
 def test_logistic_search_beats_chance(linear_parts):
-    model = study.search_logistic(linear_parts.train, (1.0, 0.001))
+    model = study.search_logistic(linear_parts.train, "id", (1.0, 0.001))
     found = study.hold_out_auc(model, linear_parts.test, "id").first()
     assert found.roc_auc > 0.85 and 0.7 < found.roc_auc_hard <= found.roc_auc + 0.05
     assert len(model.avgMetrics) == 2
@@ -50,15 +50,32 @@ def test_trees_know_their_categories(table_rows):
 
 
 def test_forest_search(linear_parts):
-    model = study.search_forest(linear_parts.train, (5, 10))
+    model = study.search_forest(linear_parts.train, "id", (5, 10))
     assert study.hold_out_auc(model, linear_parts.test, "id").first().roc_auc > 0.8
 
 
 def test_cross_validated_accuracy(table_rows):
-    found = study.cross_validated_accuracy(table_rows, ["a"], "y", linear.elastic_net(0.0, 0.01))
+    found = study.cross_validated_accuracy(
+        table_rows, ["a"], "y", linear.elastic_net(0.0, 0.01), "id"
+    )
     assert len(found) == 1 and found[0] > 0.7
 
 
+def test_folds_and_searches_do_not_depend_on_partitions(linear_parts):
+    found = []
+    for parts in (3, 11):
+        train = linear_parts.train.repartition(parts)
+        folds = {r.id: r.fold for r in study.with_folds(train, "id").collect()}
+        search = study.search_logistic(train, "id", (1.0, 0.01))
+        boosted = study.search_boosted(train, "id", (0.1,), (3,), (1.0, 9.0), max_iter=3)
+        scores = [round(v, 6) for v in [*search.avgMetrics, *boosted.scores]]
+        found.append((folds, scores))
+        results = study.search_results(train.sparkSession, boosted.grid, boosted.scores).collect()
+        assert len(results) == 2 and any(r.best for r in results)
+    assert found[0] == found[1]
+    assert set(found[0][0].values()) == set(range(study.FOLDS))
+
+
 def test_stronger_regularisation_for_smaller_c():
     assert linear.inverse_strength(10.0, 100) == pytest.approx(0.001)
     assert isinstance(linear.elastic_net(0.1, 0.1), LogisticRegression)
@@ -79,6 +96,12 @@ def test_label_study(spark):
     assert len(found) == 60
     assert all(sorted(names)[r.class_index] == r.predicted for r in found)
     assert all(sum(r.probabilities) == pytest.approx(1) for r in found)
+    assert all(len(r.probabilities) == len(names) for r in found)
+    unknown = rows.filter("label IS NULL OR id % 2 = 0").selectExpr(
+        "id", "if(id % 4 = 0, null, label) AS label", "features"
+    )
+    head = label_study.fit_head(unknown.dropna(), unknown)
+    assert head.stages[1].numClasses == len(names)
     scores = {r.label: r.f1 for r in report.collect()}
     assert scores["weighted avg"] > 0.9 and set(names) < set(scores)
     unlabelled = rows.drop("label").selectExpr("id", "features", "cast(null as string) label")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -82,13 +84,11 @@ def test_vector_equals_the_grid(spark):
     counted = visits.user_domain_counts(log)
     top = domains.top_domains(domains.domain_counts(log), 10)
     assert top.collect() == domains.top_domains(domains.domain_totals(counted), 10).collect()
-    grid = domains.user_domain_grid(log, top)
-    assert grid.count() == 40 * 10
-    joined = grid.join(counted, ["uid", "domain"], "left").na.fill(0)
-    placed = domains.domain_positions(joined)
+    grid = domains.user_domain_grid(counted, top).collect()
     vectors = {r.uid: r.domain_features for r in domains.domain_vector(log, 10).collect()}
     assert all(len(v) == 10 for v in vectors.values()) and len(vectors) == 40
-    for r in placed.collect():
+    assert len(grid) == sum(n > 0 for v in vectors.values() for n in v)
+    for r in grid:
         assert vectors[r.uid][r.position - 1] == r.cnt
 
 
@@ -128,8 +128,10 @@ def test_pivot_drops_nulls_and_fills(rows):
         found = pivots.pivot_counts(data, "c", values)
         assert found.columns == ["uid", "x", "y"]
         assert {r.uid: (r.x, r.y) for r in found.collect()} == expected
-    fixed = pivots.pivot_counts(data, "c", ["y", "z"])
+    fixed = pivots.pivot_counts(data, "c", ["x", "y", "z"])
     assert {r.uid: (r.y, r.z) for r in fixed.collect()} == {"a": (0, 0), "b": (1, 0)}
+    with pytest.raises(Exception, match="outside its list: x"):
+        pivots.pivot_counts(data, "c", ["y", "z"]).collect()
 
 
 def test_long_counts_equal_pivot(spark):
