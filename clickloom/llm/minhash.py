@@ -8,7 +8,7 @@ components against all others. So a bucket costs about its size however many cop
 no pair that could join two components stays untested. A pair passes when its signatures do not
 rule it out and its full sets then have the wanted similarity.
 
-At a similarity of 0.75 a pair shares none of the 40 bands of 5 with probability 2e-5, and its
+At a similarity of 0.75 a pair shares none of the 60 bands of 6 with probability 8e-6, and its
 signature check fails with probability below 1e-6.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. A text with fewer than five words has
@@ -33,13 +33,13 @@ from .common import byte_texts, words
 from .components import components
 
 SHINGLE = 5
-BANDS, ROWS = 40, 5
+BANDS, ROWS = 60, 6
 # Links need at least this similarity, as a fraction.
 SIMILARITY = (75, 100)
 # Least share of agreeing signature entries, five standard deviations below the similarity.
 LEAST_AGREEING = 0.75 - 5 * (0.75 * 0.25 / (BANDS * ROWS)) ** 0.5
 # Members of a bucket's smallest components that one further round compares with the others.
-HUBS = 8
+HUBS = 32
 # Word hashes a worker remembers; shingles hashed at once.
 REMEMBERED = 300_000
 AT_ONCE = 2048
@@ -297,7 +297,7 @@ def _components(texts: DataFrame) -> DataFrame:
     texts = texts.select("doc_id", "text")
     with Workspace(spark) as work:
         rows = work.stage(described, "minhash-rows")
-        narrow = work.stage(rows.select("doc_id", "text_key", "n_shingles", "set_key"), "minhash-keys")
+        narrow = rows.select("doc_id", "text_key", "n_shingles", "set_key")
         named = narrow.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
         class_of = work.stage(
             named.groupBy("set_key").agg(F.min("doc_id").alias("class")), "minhash-classes"
@@ -308,7 +308,6 @@ def _components(texts: DataFrame) -> DataFrame:
             wide.dropDuplicates(["set_key", "doc_id"]).select("doc_id", "bands", "signature"),
             "minhash-representatives",
         )
-        work.drop(rows)
         entries = classes.select("doc_id", F.explode("bands").alias("bucket"))
         shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
         members = work.stage(entries.join(shared.select("bucket"), "bucket"), "minhash-members")
@@ -322,7 +321,8 @@ def _components(texts: DataFrame) -> DataFrame:
                 new = own.stage(pairs.join(tested, ["u", "v"], "left_anti"), "minhash-new")
                 links = _verified(new, classes, texts, work)
                 tested = work.stage(tested.unionByName(new), "minhash-tested")
-                joined = components(joined.unionByName(links), work)
+                if not links.isEmpty():
+                    joined = components(joined.unionByName(links), work)
                 rest = open_buckets.select("bucket", "doc_id").join(
                     done, ["bucket", "doc_id"], "left_anti"
                 )
