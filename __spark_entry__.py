@@ -778,7 +778,7 @@ def _searched(parts, grid, scores, values: dict[str, str]) -> DataFrame:
     best = F.sum(F.col("best").cast("int")).over(Window.partitionBy())
     return found.withColumns(named).select(
         *values,
-        F.lit(parts.train.count()).alias("train_rows"),
+        F.lit(parts.train.count()).cast("long").alias("train_rows"),
         (_probability("score") & (best >= 1)).alias("scored"),
     )
 

@@ -164,7 +164,7 @@ def search_results(spark, grid: list, scores: Sequence[float]) -> DataFrame:
         named = ", ".join(
             f"{p.name}={v}" for p, v in sorted(point.items(), key=lambda x: x[0].name)
         )
-        rows.append((n, named, float(score), score == best))
+        rows.append((n, named, float(score), bool(score == best)))
     # At most one row per point of the caller's grid.
     return spark.createDataFrame(rows, "point int, params string, score double, best boolean")
 
