@@ -3,7 +3,7 @@
 A document's set holds its distinct five-word shingles as 64-bit hashes. Equal sets form a class,
 named by its smallest id. Signatures are the minima of universal hashes; bands of them put classes
 in buckets. Within a bucket, a class is compared with a hub and not with every other: first the
-least member, then, where a bucket still holds several components, members of its smallest
+most central member, then, where a bucket still holds several components, members of its smallest
 components against all others. So a bucket costs about its size however many copies it holds, and
 no pair that could join two components stays untested. A pair passes when its signatures do not
 rule it out and its full sets then have the wanted similarity.
@@ -39,7 +39,7 @@ SIMILARITY = (75, 100)
 # Least share of agreeing signature entries, five standard deviations below the similarity.
 LEAST_AGREEING = 0.75 - 5 * (0.75 * 0.25 / (BANDS * ROWS)) ** 0.5
 # Members of a bucket's smallest components that one further round compares with the others.
-HUBS = 32
+HUBS = 64
 # Word hashes a worker remembers; shingles hashed at once.
 REMEMBERED = 300_000
 AT_ONCE = 2048
@@ -188,7 +188,7 @@ def _sides(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
         named = values.select(
             F.col("doc_id").alias(side), F.col(column).alias(f"{column}_{side}")
         )
-        pairs = pairs.join(named, side)
+        pairs = pairs.join(named.hint("merge"), side)
     return pairs
 
 
@@ -205,7 +205,7 @@ def _verified(
         )
         ids = agreeing.select(F.col("u").alias("doc_id")).union(agreeing.select("v")).distinct()
         sets = own.stage(
-            texts.join(ids, "doc_id", "left_semi").mapInArrow(
+            texts.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(
                 _sets, "doc_id long, shingles binary"
             ),
             "minhash-sets",
@@ -214,11 +214,26 @@ def _verified(
         return work.stage(confirmed.select("u", "v").distinct(), "minhash-links")
 
 
-def _first_pairs(members: DataFrame) -> DataFrame:
-    """Each member of a bucket with the least one."""
-    least = members.groupBy("bucket").agg(F.min("doc_id").alias("u"))
-    pairs = members.join(least, "bucket").select("u", F.col("doc_id").alias("v"))
-    return pairs.filter("u < v").distinct()
+def _members(classes: DataFrame, work: Workspace) -> DataFrame:
+    """``(bucket, doc_id, hub)`` of the buckets with several classes, staged in ``work``.
+
+    The hub of a bucket is its most central member: the one whose buckets hold most classes in
+    all. Among copies of one text that is the copy with the fewest changes of its own, which is
+    the likeliest to be similar to all others.
+    """
+    entries = classes.select("doc_id", F.explode("bands").alias("bucket"))
+    shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    sized = work.stage(entries.join(shared.hint("merge"), "bucket"), "minhash-sized")
+    weight = sized.groupBy("doc_id").agg(F.sum("n").alias("weight"))
+    weighed = work.stage(
+        sized.select("bucket", "doc_id").join(weight.hint("merge"), "doc_id"), "minhash-weighed"
+    )
+    first = F.struct(F.col("weight"), (-F.col("doc_id")).alias("order"))
+    hubs = weighed.groupBy("bucket").agg((-F.max(first)["order"]).alias("hub"))
+    members = weighed.select("bucket", "doc_id").join(hubs.hint("merge"), "bucket")
+    found = work.stage(members, "minhash-members")
+    work.drop(sized, weighed)
+    return found
 
 
 def _further_pairs(members: DataFrame, own: Workspace) -> tuple[DataFrame, DataFrame]:
@@ -303,18 +318,21 @@ def _components(texts: DataFrame) -> DataFrame:
             named.groupBy("set_key").agg(F.min("doc_id").alias("class")), "minhash-classes"
         )
         least = class_of.select("set_key", F.col("class").alias("doc_id"))
-        wide = rows.join(least, ["set_key", "doc_id"], "left_semi")
+        wide = rows.join(least.hint("merge"), ["set_key", "doc_id"], "left_semi")
         classes = work.stage(
             wide.dropDuplicates(["set_key", "doc_id"]).select("doc_id", "bands", "signature"),
             "minhash-representatives",
         )
-        entries = classes.select("doc_id", F.explode("bands").alias("bucket"))
-        shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-        members = work.stage(entries.join(shared.select("bucket"), "bucket"), "minhash-members")
-        links = _verified(_first_pairs(members), classes, texts, work)
+        members = _members(classes, work)
+        first = members.select(
+            F.least("hub", "doc_id").alias("u"), F.greatest("hub", "doc_id").alias("v")
+        )
+        tested = work.stage(first.filter("u < v").distinct(), "minhash-tested")
+        links = _verified(tested, classes, texts, work)
         joined = components(links, work)
-        open_buckets = work.stage(_open_buckets(members, joined), "minhash-open")
-        tested = work.stage(_first_pairs(members), "minhash-tested")
+        # The hub has met all others of its bucket.
+        rest = members.filter("doc_id != hub")
+        open_buckets = work.stage(_open_buckets(rest, joined), "minhash-open")
         while not open_buckets.isEmpty():
             with Workspace(spark) as own:
                 pairs, done = _further_pairs(open_buckets, own)
