@@ -7,7 +7,8 @@ order, and the gaps between anchors are aligned alike. What is left over is alig
 blocks are found too. Aligned lines are deleted from the later document.
 
 A pair always holds the first document of a line, so a line in a third of all documents gives one
-pair a document and not all pairs. Only line hashes meet in a pair.
+pair a document and not all pairs. Only line hashes meet in a pair. Joins
+on what grows with the documents are hash-partitioned at every size, never broadcast.
 
 Lines are parts between ``\\n``, compared without blanks at their ends; lines without a word never
 match and stay. Null texts stay null, empty ones empty. Rows without an id are left as they are.
@@ -150,7 +151,7 @@ def _first_holders(keys: DataFrame, n_documents: int) -> DataFrame:
     later = (F.col("__id") > F.col("first_id")) | (F.col("__text") != F.col("first_text"))
     return (
         held.select(*_KEY, "key")
-        .join(first, "key")
+        .join(first.hint("merge"), "key")
         .filter(later)
         .select(*_KEY, "first_id", "first_text")
         .distinct()
@@ -180,8 +181,8 @@ def line_masks(docs: DataFrame, work: Workspace, doc_id: str, text: str) -> Data
         F.col("lines.key").alias("earlier"),
     )
     aligned = (
-        pairs.join(first, ["first_id", "first_text"])
-        .join(hashes, _KEY)
+        pairs.join(first.hint("merge"), ["first_id", "first_text"])
+        .join(hashes.hint("merge"), _KEY)
         .select(
             *_KEY,
             F.size("later").alias("n_lines"),
@@ -212,5 +213,5 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         .cast("long")
         .alias("n_deleted"),
     )
-    joined = _keyed(docs, doc_id, text).join(masks, _KEY, "left")
+    joined = _keyed(docs, doc_id, text).join(masks.hint("merge"), _KEY, "left")
     return add_fields(joined, found, [text, "n_lines", "n_deleted"]).drop(*_KEY, "__mask")

@@ -297,7 +297,9 @@ def drop_near_duplicates(
     kept = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"))
     keys = {"__id": F.col(doc_id).cast("long"), "__text": F.xxhash64(text)}
     same = F.col("a.__id").eqNullSafe(F.col("b.__id")) & (F.col("a.__text") == F.col("b.__text"))
-    staying = docs.withColumns(keys).alias("a").join(kept.alias("b"), same, "left_semi")
+    staying = docs.withColumns(keys).alias("a").join(
+        kept.hint("merge").alias("b"), same, "left_semi"
+    )
     return staying.dropDuplicates(list(keys)).drop(*keys)
 
 
