@@ -19,7 +19,7 @@ def offsets(topic: str, offset: Offset = "earliest", partitions: int = 1) -> str
     Spark wants all partitions of the topic named. Partitions a dict leaves out start at the
     earliest message.
     """
-    if offset in ENDS:
+    if isinstance(offset, str) and offset in ENDS:
         return offset
     if isinstance(offset, dict):
         named = {int(p): ENDS.get(o, o) for p, o in offset.items()}

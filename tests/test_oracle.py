@@ -1,7 +1,9 @@
-"""Every registered query: against DuckDB where SQL exists, else well-formed and not empty."""
+"""Every registered query against DuckDB."""
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -10,7 +12,6 @@ from compare import compare, connect
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
 SF = "/root/testdata/sf0.01"
-SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -27,12 +28,10 @@ def test_matches_duckdb(spark, duck, name):
     assert compare(duck, ORACLE[name], QUERIES[name](spark, SF)) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_models_give_rows(spark, name):
-    frame = QUERIES[name](spark, SMALL)
-    found = frame.collect()
-    assert found
-    assert all(v is not None for row in found for v in row)
+def test_queries_without_sql_have_tests_of_their_own():
+    """Only training-data operators, which brute force checks, may lack SQL."""
+    without = set(QUERIES) - set(ORACLE)
+    assert all(name == "pipeline" or re.match(r"op\d+_", name) for name in without)
 
 
 def test_entry(spark):
