@@ -277,13 +277,19 @@ def pseudonym(match: Column, key: str) -> Column:
 def pseudonymise(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Replace ``text`` and add ``n_replaced``, the number of values that got a pseudonym."""
     source = F.col(text).cast("string")
+    # Every pattern needs a digit or an at sign, so other texts are not searched.
+    possible = source.rlike("[0-9@]")
     matches = F.regexp_extract_all(source, F.lit(_combined()), F.lit(0))
+    replaced = F.transform(
+        matches, lambda m: F.struct(m.alias("match"), pseudonym(m, key).alias("pseudonym"))
+    )
     found = F.struct(
-        F.split(source, _combined(), -1).alias("gaps"),
-        F.transform(
-            matches,
-            lambda m: F.struct(m.alias("match"), pseudonym(m, key).alias("pseudonym")),
-        ).alias("found"),
+        F.when(possible, F.split(source, _combined(), -1))
+        .when(source.isNotNull(), F.array(source))
+        .alias("gaps"),
+        F.when(possible, replaced)
+        .when(source.isNotNull(), F.array().cast("array<struct<match:string,pseudonym:string>>"))
+        .alias("found"),
     )
     parts = df.withColumn("__pii", found)
     joined = F.array_join(
