@@ -341,6 +341,30 @@ def test_decontamination_recall_and_precision(spark):
         assert missed <= {h["item_id"] for h in hits}
 
 
+@pytest.mark.parametrize("where", ["start", "middle", "end"])
+@pytest.mark.parametrize("kind", ["replaced", "cut", "added"])
+def test_decontamination_of_edits_in_one_place(where, kind):
+    """All edits that the share allows stand together, as in quotes that begin mid-sentence."""
+    rng = random.Random(9)
+    sizes = [5, 6, 7, 10, 15, 20, 30, 45, 59] * 30
+    items = [
+        (i, " ".join(f"w{rng.randrange(5000)}" for _ in range(n))) for i, n in enumerate(sizes)
+    ]
+    index = decontamination.Index(items, settings := decontamination.Settings())
+    cases = []
+    for _, text in items:
+        words = text.split()
+        edits = settings.edits(len(words))
+        at = {"start": 0, "middle": (len(words) - edits) // 2, "end": len(words) - edits}[where]
+        put = [] if kind == "cut" else ["zzz"] * edits
+        words[at : at if kind == "added" else at + edits] = put
+        around = [f"y{rng.randrange(5000)}" for _ in range(rng.randrange(30))]
+        cases.append(" ".join(around + words + around))
+    found = index.hits(cases)
+    missed = [i for (i, _), f in zip(items, found) if i not in {h["item_id"] for h in f}]
+    assert len(missed) <= len(items) * 2 * (1 - settings.recall)
+
+
 # Pseudonyms
 
 
