@@ -4,9 +4,9 @@ A word of the training texts is scored by its log frequency in each language. An
 back to its character n-grams: the longest length of which some are known decides, shorter ones are
 tried only when none is. The scores of all words of a text add up.
 
-The vocabulary holds the words and n-grams with a least share of their language's counts, so its
+The vocabulary holds the words and n-grams with a least share of any language's counts, so its
 size is bounded by ``1 / share`` entries a language however large the corpus; rarer words are what
-the fall-back is for. Counts cover all training rows.
+the fall-back is for. Counts cover all training rows, and an entry has its count in every language.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is everything when no row
 can be trained on. Repeated rows are counted as often as they occur and predicted alike. Input
@@ -172,11 +172,14 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
 
 def _frequent(counts: DataFrame, columns: list[str], sizes: dict[str, int], share: float):
-    """Entries with at least ``share`` of their language's counts."""
+    """Counts in all languages of the entries with at least ``share`` of any language's counts."""
     least = F.lit(None).cast("double")
     for lang, size in sizes.items():
         least = F.when(F.col("lang") == lang, F.lit(share * size)).otherwise(least)
-    return counts.filter(F.col("n") >= least).select(*columns, "n")
+    item = columns[1]
+    entries = counts.filter(F.col("n") >= least).select(item).distinct()
+    own = counts.filter(F.col("lang").isin(list(sizes)))
+    return own.join(entries, item, "left_semi").select(*columns, "n")
 
 
 class Scorer:

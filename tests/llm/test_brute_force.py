@@ -20,6 +20,7 @@ from clickloom.llm import (
     bpe,
     components,
     decontamination,
+    language_id,
     line_dedup,
     minhash,
     pii,
@@ -130,6 +131,15 @@ def test_language_held_out(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_language_counts_are_whole(rows):
+    """A word just below the share in one language keeps its count there."""
+    own = [("da", "og " * 99_997 + "sjov " * 3), ("no", "og " * 99_999 + "sjov")]
+    model = language_id.fit(rows(own, "lang string, text string"))
+    scores = model.scores[model.words["sjov"]]
+    assert model.languages == ["da", "no"]
+    assert scores[0] - scores[1] == pytest.approx(np.log(3), abs=1e-4)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
