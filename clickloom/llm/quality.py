@@ -7,7 +7,8 @@ Jensen-Shannon distance, than a threshold. Histograms of short texts are noise,
 guards either test.
 
 Null texts count as empty; they have no words and fail the base rule. Rows without a language are
-judged like all others but add to no reference. Without any reference (an empty table, no
+judged like all others but add to no reference. Rows of a language with too few words for a
+reference are judged by the base rule only. Without any reference (an empty table, no
 language) the distances are null and only the base rule decides. Equal rows are judged alike; input
 columns named like an output column are replaced.
 """
@@ -31,7 +32,8 @@ MARKS = b".,;:!?'\"()-"
 
 # Least share of a language's words that makes a word common: at most 1 / share words each.
 COMMON_SHARE = 0.002
-# Least share of all words that makes a language a reference: at most 1 / share languages.
+# A language is a reference from so many words on, or from this share of all words where that is less.
+LANGUAGE_WORDS = 5_000
 LANGUAGE_SHARE = 0.001
 # Entries a worker counts before it hands its partial counts on.
 COUNTER_ENTRIES = 200_000
@@ -196,13 +198,14 @@ class Reference:
 
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> list[Reference]:
-    """Reference histograms of every language with a sufficient share of all words."""
+    """Reference histograms of every language with enough words."""
     with Workspace(df.sparkSession) as work:
         counts = work.stage(reference_counts(df, text, lang), "quality-counts")
         totals = counts.filter("kind = 't'").select("lang", F.col("n").alias("total"))
         all_words = totals.agg(F.sum("total")).scalar()
         large = totals.filter(
-            (F.col("total") > 0) & (F.col("total") >= LANGUAGE_SHARE * all_words)
+            (F.col("total") > 0)
+            & (F.col("total") >= F.least(F.lit(LANGUAGE_WORDS), LANGUAGE_SHARE * all_words))
         )
         wanted = (F.col("kind") == "c") | (F.col("n") >= COMMON_SHARE * F.col("total"))
         rows = (
@@ -285,7 +288,11 @@ class Judge:
 
 
 def apply(
-    df: DataFrame, references: list[Reference], rules: Rules = Rules(), text: str = "text"
+    df: DataFrame,
+    references: list[Reference],
+    rules: Rules = Rules(),
+    text: str = "text",
+    lang: str = "lang",
 ) -> DataFrame:
     """Add counts, distances and verdicts to every row."""
     sent = df.sparkSession.sparkContext.broadcast((references, rules))
@@ -294,4 +301,11 @@ def apply(
         judge = Judge(*sent.value)
         return [judge(t) for t in texts]
 
-    return add_fields(df, text_udf(FIELDS, per_text)(F.col(text)), FIELDS.names)
+    value = text_udf(FIELDS, per_text)(F.col(text))
+    if lang not in df.columns:
+        return add_fields(df, value, FIELDS.names)
+    own = F.col(lang).cast("string")
+    without = own.isNotNull() & ~own.isin([r.lang for r in references])
+    found = add_fields(df.withColumn("__without_reference", without), value, FIELDS.names)
+    by_base = F.when(F.col("__without_reference"), ~F.col("base_failed")).otherwise(F.col("kept"))
+    return found.withColumn("kept", by_base).drop("__without_reference")

@@ -113,6 +113,23 @@ def test_quality_separates_labels(spark):
     assert sum(bad) / len(bad) < 0.3
 
 
+def test_quality_of_small_languages(rows):
+    """Languages far below a thousandth of all words are not judged by the words of others."""
+
+    def prose(prefix, n, seed):
+        rng = random.Random(seed)
+        return " ".join(f"{prefix}{min(rng.randrange(40), rng.randrange(40))}" for _ in range(n))
+
+    own = [(f"a{i}", "en", prose("en", 100_000, i)) for i in range(80)]
+    own += [(f"b{i}", "fo", prose("fo", 500, i)) for i in range(12)]
+    own += [(f"c{i}", "se", prose("se", 500, i)) for i in range(2)]
+    docs = rows(own, "doc_id string, lang string, text string")
+    references = quality.fit(docs)
+    assert [r.lang for r in references] == ["en", "fo"]
+    judged = quality.apply(docs, references).filter("lang != 'en'").collect()
+    assert all(not r.base_failed and r.kept for r in judged) and len(judged) == 14
+
+
 def test_js_distance():
     p, q = np.array([1.0, 0.0]), np.array([0.0, 1.0])
     assert quality.js_distance(p, p) == 0
