@@ -7,6 +7,7 @@ tried only when none is. The scores of all words of a text add up.
 The vocabulary holds the words and n-grams with a least share of any language's counts, so its
 size is bounded by ``1 / share`` entries a language however large the corpus; rarer words are what
 the fall-back is for. Counts cover all training rows, and an entry has its count in every language.
+Every language with a word in the training rows is a class.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is everything when no row
 can be trained on. Repeated rows are counted as often as they occur and predicted alike. Input
@@ -34,8 +35,6 @@ LONGEST = 5
 # Least share of a language's words, or of its n-grams of one length, that an entry must have.
 WORD_SHARE = 1 / 50_000
 GRAM_SHARE = 1 / 20_000
-# Least share of all training words that makes a language a class: at most 1 / share classes.
-LANGUAGE_SHARE = 0.0005
 # Weight of a known n-gram set against a known word.
 BACKOFF_WEIGHT = 0.5
 COUNTER_ENTRIES = 200_000
@@ -136,9 +135,7 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
             partial.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words"
         )
         totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-        all_words = totals.agg(F.sum("total")).scalar()
-        large = totals.filter(F.col("total") >= LANGUAGE_SHARE * all_words)
-        size_of = {r.lang: r.total for r in large.collect()}
+        size_of = {r.lang: r.total for r in totals.collect()}
         languages = sorted(size_of)
         words = _frequent(counts, ["lang", "word"], size_of, WORD_SHARE)
         spelled = counts.mapInArrow(

@@ -157,6 +157,19 @@ def test_language_counts_are_whole(rows):
     assert scores[0] - scores[1] == pytest.approx(np.log(3), abs=1e-4)
 
 
+def test_small_languages_are_classes(rows):
+    """A language with a few thousandths of a per cent of the words is predicted for its texts."""
+    rng = random.Random(8)
+    large = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)]
+    small = ["føroyar", "hevur", "ikki", "tað", "verða", "tjóð", "okkum", "hvør"] * 5
+    own = [("en", " ".join(rng.choices(large, k=100_000)), i) for i in range(10)]
+    model = language_id.fit(rows([*own, ("fo", " ".join(small), 99)], "lang string, text string, i int"))
+    assert model.languages == ["en", "fo"]
+    score = language_id.Scorer(model)
+    assert score("Tað verða okkum ikki føroyar hevur tjóð")[0] == "fo"
+    assert score(" ".join(large[:8]))[0] == "en"
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
