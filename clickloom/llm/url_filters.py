@@ -49,7 +49,8 @@ class Rule:
 @dataclass(frozen=True)
 class Settings:
     """``deviation`` is that of the test in standard deviations; ``weight`` the number of labels
-    that the prior counts for; ``limit`` the share of bad labels that blocks."""
+    that the prior counts for; ``limit`` the share of bad labels that blocks. ``least_share`` is read by
+    the SQL only, which still merges smaller children."""
 
     levels: int = 8
     least_pages: int = 10
@@ -102,7 +103,6 @@ def _branches(rows: DataFrame, level: int, settings: Settings) -> DataFrame:
         F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"),
     )
     nodes = children.groupBy("host", "prefix").agg(
-        F.sum("n").alias("all_n"),
         F.sum("labels").alias("all_labels"),
         F.sum("bad").alias("all_bad"),
     )
@@ -114,7 +114,6 @@ def _branches(rows: DataFrame, level: int, settings: Settings) -> DataFrame:
     differs = (own_share - other_share) ** 2 >= settings.deviation**2 * spread
     enough = (
         (F.col("n") >= settings.least_pages)
-        & (F.col("n") >= settings.least_share * F.col("all_n"))
         & (F.col("labels") >= settings.least_labels)
         & (others >= settings.least_labels)
     )

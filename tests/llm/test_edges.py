@@ -157,6 +157,16 @@ def test_urls_of_odd_rows(rows):
     assert url_filters.judge_urls(pages.limit(0), labels.limit(0), rules).count() == 0
 
 
+def test_one_bad_section_among_hundreds(rows):
+    """Branches are decided by their labels, not by their share of the host."""
+    names = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(300)]
+    own = [(20 * k + i, f"http://a.com/{s}/p{i}", int(s == "ca")) for k, s in enumerate(names) for i in range(20)]
+    pages = rows(own, "page_id long, url string, bad int")
+    judged = url_filters.judge_urls(pages, pages.select("page_id", "bad"), [])
+    blocked = judged.filter("verdict = 'block'").collect()
+    assert len(blocked) == 20 and all(r.path.startswith("/ca/") for r in blocked)
+
+
 def test_pipeline_stages_keep_the_columns(spark, rows, tmp_path):
     documents = rows([r[:5] for r in ROWS], ", ".join(SCHEMA.split(", ")[:5]))
     items(rows).write.parquet(str(tmp_path / "benchmark.parquet"))
