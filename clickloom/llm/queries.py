@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontamination, language_id, line_dedup, minhash, oracle, pii, quality, sharding, toxicity, url_filters
+from . import (
+    bpe,
+    decontamination,
+    language_id,
+    line_dedup,
+    minhash,
+    oracle,
+    pii,
+    quality,
+    rank_bpe,
+    sharding,
+    token_alignment,
+    toxicity,
+    url_filters,
+)
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,11 +41,18 @@ def oracle_sql() -> dict[str, str]:
     return dict(_ORACLE)
 
 
-def vocabulary_path() -> str:
-    """Place of the public byte-level vocabulary, as its package names it."""
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a public vocabulary, as its package names it."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
+
+
+def rank_pattern() -> str:
+    """The pattern that belongs to the public rank files."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
 
 
 @_query
@@ -118,3 +139,17 @@ def op2_url_filters(spark, sf_dir):
 
 
 _ORACLE["op2_url_filters"] = oracle.url_filters(URL_RULES, url_filters.Settings())
+
+
+@_query
+def op11_rank_bpe(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = vocabulary_path("byte_bpe_50k.tiktoken")
+    return rank_bpe.round_trip(documents, ranks, rank_pattern()).drop("text")
+
+
+@_query
+def op13_token_alignment(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = vocabulary_path("piece_bpe_32k.model")
+    return token_alignment.align(documents, vocabulary_path(), pieces)
