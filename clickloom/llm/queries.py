@@ -17,6 +17,7 @@ from . import (
     quality,
     rank_bpe,
     sharding,
+    spelling,
     token_alignment,
     toxicity,
     url_filters,
@@ -148,6 +149,16 @@ def op11_rank_bpe(spark, sf_dir):
     return rank_bpe.round_trip(documents, ranks, rank_pattern()).drop("text")
 
 
+# One run in so many loses a code point: the variants that the synthetic tables lack.
+PLANTED_ONE_IN = 97
+
+
+@_query
+def op12_spelling_variants(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.word_counts(documents, one_in=PLANTED_ONE_IN))
+
+
 @_query
 def op13_token_alignment(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
