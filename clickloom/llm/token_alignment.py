@@ -41,6 +41,8 @@ from .bpe import byte_symbols
 # Characters of documents whose distinct pairs are written together, and that are cut at once.
 BLOCK = 8_000_000
 LOT = 1_000_000
+# Characters of new segments that either tokenizer gets at once.
+JOINED = 10_000
 # Segments a worker remembers, twice over; longer ones are aligned each time.
 REMEMBERED = 150_000
 REMEMBERED_LENGTH = 64
@@ -119,6 +121,10 @@ class Aligner:
             bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.encode()
             for i, p in enumerate(plain)
         ]
+        self._a_sizes = np.array(list(map(len, self.a_bytes)))
+        self._b_sizes = np.array(list(map(len, self.b_bytes)))
+        self._a_names = list(map(str, range(len(self.a_bytes))))
+        self._b_names = list(map(str, range(len(self.b_bytes))))
         self._space = self._b.piece_to_id("▁")
         self._cuts = not any(re.search(r"\S |\n", p) for p in plain)
         self._new: dict[str, Segment | None] = {}
@@ -131,7 +137,7 @@ class Aligner:
         return _SEGMENT.findall(" " + text) if self._cuts else [" " + text]
 
     def tokens(self, parts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of either tokenizer for each segment."""
+        """Ids of either tokenizer for each segment, encoded apart."""
         a = self._a.encode_batch(parts, add_special_tokens=False)
         # B puts a space before a text: a segment's own, or one that is taken off again.
         b = self._b.encode([p[1:] if p[0] == " " else p for p in parts], num_threads=1)
@@ -140,6 +146,68 @@ class Aligner:
                 right = right[1:]
             yield left.ids, right
 
+    def _align_joined(self, parts: list[str]) -> list[Segment | None]:
+        """Alignment of many segments as one text, which every segment ends like a word."""
+        raw = [p.encode() for p in parts]
+        ends = np.cumsum(list(map(len, raw)))
+        text = "".join(parts)
+        a = np.array(self._a.encode(text, add_special_tokens=False).ids, "i8")
+        b = np.array(self._b.encode(text[1:], num_threads=1), "i8")
+        a_raw = b"".join(map(self.a_bytes.__getitem__, a.tolist()))
+        b_raw = b"".join(map(self.b_bytes.__getitem__, b.tolist()))
+        if not a_raw == b_raw == b"".join(raw):
+            return self._align_alone(parts)
+        a_sizes, b_sizes = self._a_sizes[a], self._b_sizes[b]
+        a_ends, b_ends = np.cumsum(a_sizes), np.cumsum(b_sizes)
+        a_names = [self._a_names[t] for t in a.tolist()]
+        b_names = [self._b_names[t] for t in b.tolist()]
+        cut = slices(a_sizes.tolist(), b_sizes.tolist())
+        groups = [
+            f"{a_names[i]}|{b_names[j]}"
+            if i_end - i == j_end - j == 1
+            else f"{','.join(a_names[i:i_end])}|{','.join(b_names[j:j_end])}"
+            for i, i_end, j, j_end in cut
+        ]
+        group_ends = a_ends[[part[1] - 1 for part in cut]]
+        # Overlaps lie inside a slice: from the token that an A token starts in to its end's.
+        first = np.searchsorted(b_ends, a_ends - a_sizes, "right")
+        many = np.searchsorted(b_ends, a_ends, "left") - first + 1
+        links_to = np.cumsum(many)
+        b_at = np.arange(links_to[-1]) + np.repeat(first - links_to + many, many)
+        pairs = ((np.repeat(a, many) << 32) + b[b_at]).tobytes()
+        a_to = np.searchsorted(a_ends, ends) + 1
+        b_to = np.searchsorted(b_ends, ends) + 1
+        groups_to = np.searchsorted(group_ends, ends) + 1
+        if not np.array_equal(group_ends[groups_to - 1], ends):
+            return self._align_alone(parts)  # some token reached over a cut
+        pairs_to = (links_to[a_to - 1] * 8).tolist()
+        found, i, j, g, p = [], 0, 0, 0, 0
+        for i_to, j_to, g_to, p_to in zip(a_to.tolist(), b_to.tolist(), groups_to.tolist(), pairs_to):
+            found.append(
+                Segment(i_to - i, j_to - j, g_to - g, ";".join(groups[g:g_to]), pairs[p:p_to])
+            )
+            i, j, g, p = i_to, j_to, g_to, p_to
+        return found
+
+    def _align_alone(self, parts: list[str]) -> list[Segment | None]:
+        return [self._align(p, a, b) for p, (a, b) in zip(parts, self.tokens(parts))]
+
+    def _align_all(self, parts: list[str]) -> Iterator[tuple[str, Segment | None]]:
+        together, alone, size = [], [], 0
+        for part in parts:
+            if self._cuts and not part[-1].isspace() and (together or part[0] == " "):
+                together.append(part)
+                size += len(part)
+                if size >= JOINED:
+                    yield from zip(together, self._align_joined(together))
+                    together, size = [], 0
+            else:
+                alone.append(part)
+        if together:
+            yield from zip(together, self._align_joined(together))
+        if alone:
+            yield from zip(alone, self._align_alone(alone))
+
     def _align(self, part: str, a: list[int], b: list[int]) -> Segment | None:
         raw = part.encode()
         a_raw = [self.a_bytes[t] for t in a]
@@ -147,15 +215,15 @@ class Aligner:
         if b"".join(a_raw) != raw or b"".join(b_raw) != raw:
             return None
         a_lengths, b_lengths = list(map(len, a_raw)), list(map(len, b_raw))
+        a_names, b_names = [self._a_names[t] for t in a], [self._b_names[t] for t in b]
         groups, pairs = [], array("q")
         for group in slices(a_lengths, b_lengths):
             i, i_end, j, j_end = group
             if i_end - i == 1 and j_end - j == 1:
-                groups.append(f"{a[i]}|{b[j]}")
+                groups.append(f"{a_names[i]}|{b_names[j]}")
                 pairs.append((a[i] << 32) + b[j])
                 continue
-            left, right = ",".join(map(str, a[i:i_end])), ",".join(map(str, b[j:j_end]))
-            groups.append(f"{left}|{right}")
+            groups.append(f"{','.join(a_names[i:i_end])}|{','.join(b_names[j:j_end])}")
             pairs.extend((a[x] << 32) + b[y] for x, y in links(a_lengths, b_lengths, group))
         return Segment(len(a), len(b), len(groups), ";".join(groups), pairs.tobytes())
 
@@ -169,8 +237,8 @@ class Aligner:
                 found[part] = self._new[part] = self._old[part]
             else:
                 missing.append(part)
-        for part, (a, b) in zip(missing, self.tokens(missing)):
-            found[part] = self._align(part, a, b)
+        for part, segment in self._align_all(missing):
+            found[part] = segment
             if len(part) <= REMEMBERED_LENGTH:
                 self._new[part] = found[part]
         if len(self._new) > REMEMBERED:
