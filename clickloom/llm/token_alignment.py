@@ -142,7 +142,9 @@ class Aligner:
         # B puts a space before a text: a segment's own, or one that is taken off again.
         b = self._b.encode([p[1:] if p[0] == " " else p for p in parts], num_threads=1)
         for part, left, right in zip(parts, a, b):
-            if part[0] != " " and right and right[0] == self._space:
+            if part == " ":
+                right = [self._space]  # B puts no space before nothing
+            elif part[0] != " " and right and right[0] == self._space:
                 right = right[1:]
             yield left.ids, right
 
