@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,11 +14,13 @@ from ..operators.visits import union_logs
 from ..sources.readers import file_manifest, read_days
 from ..sources.schemas import STORED_VISITS
 from ..sources.writers import write_table
-from ..storage import child_folders
+from ..storage import Files, Ledger
 from .event_split import EVENT_TYPES
 
-# Folder with the counts of each day, next to the snapshots.
-DAY_COUNTS = "_day_counts"
+# Folders next to the snapshots: what each is made of, and its counts as rows.
+LEDGER = "_snapshots"
+TOTALS = "_totals"
+STAGING = "_staging-"
 
 
 def user_item_matrix(logs: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
@@ -48,10 +51,12 @@ def build_snapshot(
 ) -> str:
     """Write the matrix of the stored events to ``{output_dir}/{last day}``; return that path.
 
-    With ``update`` the counts of each day are kept below ``output_dir``, and only days whose event
-    files are new or have changed (within the range) are counted again. Every snapshot from the
-    first such day on is then summed anew from the counts of the days, so repeated runs, late days
-    and further loads of a day all give the matrix of the events as they are stored.
+    With ``update`` a snapshot is the newest one before that still holds, and the events of the days
+    after it: a normal day reads one snapshot and one day. A ledger says of which files of which
+    days each snapshot is made. A snapshot counts when its entry stands, and one whose days (within
+    the range) have new or changed files since is made again, as is one that a lost run left
+    without an entry. So repeated runs, late days, further loads of a day and runs lost at any
+    step all give the matrix of the events as they are stored.
     """
     if update:
         return _update(spark, input_dir, output_dir.rstrip("/"), values, date_from, date_to)
@@ -79,9 +84,60 @@ def _day_marks(spark: SparkSession, input_dir: str) -> DataFrame:
     )
 
 
-def _day_counts(spark: SparkSession, path: str) -> DataFrame:
-    layout = "uid string, item string, cnt bigint, mark string, day string"
-    return spark.read.schema(layout).parquet(path)
+def _counts(events: DataFrame) -> DataFrame:
+    keyed = events.select("uid", item_key("event_type", "item_id").alias("item")).dropna()
+    return keyed.groupBy("uid", "item").agg(F.count("*").alias("cnt"))
+
+
+class _Snapshots:
+    """Snapshots of one folder with their ledgers; one writer at a time."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark = spark
+        self._root = root
+        self._files = Files(spark)
+        names = self._files.children(f"{root}/{LEDGER}")
+        self.entries = {n: self._ledger(n).newest()[1] for n in names}
+
+    def _ledger(self, day: str) -> Ledger:
+        return Ledger(self._spark, f"{self._root}/{LEDGER}/{day}")
+
+    def days(self) -> set[str]:
+        """Days that have a snapshot, or should."""
+        stored = {d for d in self._files.children(self._root) if len(d) == 8 and d.isdigit()}
+        return stored | {d for d, entry in self.entries.items() if entry}
+
+    def made_of(self, day: str | None) -> dict[str, str]:
+        """Mark of each day that a snapshot holds, by its ledger."""
+        return self.entries.get(day, {}).get("days", {}) if day else {}
+
+    def totals(self, day: str) -> DataFrame:
+        path = f"{self._root}/{TOTALS}/{self.entries[day]['totals']}"
+        return self._spark.read.schema("uid string, item string, cnt bigint").parquet(path)
+
+    def write(
+        self, day: str, counts: DataFrame, days: dict[str, str], values: Sequence[str] | None
+    ) -> None:
+        """Counts first, then the snapshot, then the entry that makes both count."""
+        name = uuid.uuid4().hex
+        counts.write.parquet(f"{self._root}/{TOTALS}/{name}")
+        stored = self._spark.read.schema(counts.schema).parquet(f"{self._root}/{TOTALS}/{name}")
+        staging = f"{self._root}/{STAGING}{name}"
+        write_table(pivot_counts(stored, "item", values, weight="cnt"), staging)
+        self._files.delete(f"{self._root}/{day}")
+        self._files.move(staging, f"{self._root}/{day}")
+        self.entries[day] = {"days": days, "totals": name}
+        self._ledger(day).append(self.entries[day])
+
+    def clean(self) -> None:
+        """Drop what lost or earlier runs left and no entry names."""
+        named = {entry.get("totals") for entry in self.entries.values()}
+        for name in self._files.children(f"{self._root}/{TOTALS}"):
+            if name not in named:
+                self._files.delete(f"{self._root}/{TOTALS}/{name}")
+        for name in self._files.children(self._root):
+            if name.startswith(STAGING):
+                self._files.delete(f"{self._root}/{name}")
 
 
 def _update(
@@ -92,47 +148,40 @@ def _update(
     date_from: str | None,
     date_to: str | None,
 ) -> str:
-    store = f"{output_dir}/{DAY_COUNTS}"
     marks = _day_marks(spark, input_dir)
     if date_from is not None:
         marks = marks.filter(F.col("day") >= date_from)
     if date_to is not None:
         marks = marks.filter(F.col("day") <= date_to)
-    snapshots = [d for d in child_folders(spark, output_dir) if len(d) == 8 and d.isdigit()]
-    stored = DAY_COUNTS in child_folders(spark, output_dir)
-    if stored:
-        known = _day_counts(spark, store).select("day", "mark").distinct()
-        marks = marks.join(known, ["day", "mark"], "left_anti")
     # One line per calendar day.
-    changed = {r["day"]: r["mark"] for r in marks.collect()}
-    if not changed and not snapshots:
+    seen = {r["day"]: r["mark"] for r in marks.collect()}
+    snapshots = _Snapshots(spark, output_dir)
+    newest = max((d for d, e in snapshots.entries.items() if e), default=None)
+    outside = {
+        d: m
+        for d, m in snapshots.made_of(newest).items()
+        if (date_from is not None and d < date_from) or (date_to is not None and d > date_to)
+    }
+    current = outside | seen
+    if not current:
         raise ValueError("no events in range")
-    if changed:
-        first, last = min(changed), max(changed)
-        events = _read_events(spark, input_dir, date_from=first, date_to=last)
-        counts = (
-            events.filter(F.col("date").isin(list(changed)))
-            .select("uid", item_key("event_type", "item_id").alias("item"), "date")
-            .dropna()
-            .groupBy("uid", "item", F.col("date").alias("day"))
-            .agg(F.count("*").alias("cnt"))
-        )
-        mark_of = spark.createDataFrame(list(changed.items()), "day string, mark string")
-        (
-            counts.join(mark_of, "day")
-            .hint("rebalance", "day")
-            .select("uid", "item", "cnt", "mark", "day")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day")
-            .parquet(store)
-        )
-    counts = _day_counts(spark, store)
-    last_day = counts.agg(F.max("day")).first()[0]
-    if last_day is None:
-        raise ValueError("no events in range")
-    stale = {d for d in snapshots if changed and d >= min(changed)} | {last_day}
-    for day in sorted(stale if changed else {last_day} - set(snapshots)):
-        until = counts.filter(F.col("day") <= day)
-        write_table(pivot_counts(until, "item", values, weight="cnt"), f"{output_dir}/{day}")
-    return f"{output_dir}/{last_day}"
+
+    def upto(day: str) -> dict[str, str]:
+        return {d: m for d, m in current.items() if d <= day}
+
+    last = max(current)
+    holding = {d for d in snapshots.entries if snapshots.made_of(d) == upto(d)}
+    for day in sorted((snapshots.days() | {last}) - holding):
+        base = max((d for d in holding if d < day), default=None)
+        new = [d for d in upto(day) if base is None or d > base]
+        if not upto(day):
+            continue  # a snapshot before all events: not ours to change
+        events = _read_events(spark, input_dir, date_from=min(new, default=day), date_to=day)
+        counts = _counts(events.filter(F.col("date").isin(new)))
+        if base is not None:
+            both = snapshots.totals(base).unionByName(counts)
+            counts = both.groupBy("uid", "item").agg(F.sum("cnt").alias("cnt"))
+        snapshots.write(day, counts, upto(day), values)
+        holding.add(day)
+    snapshots.clean()
+    return f"{output_dir}/{last}"

@@ -13,17 +13,18 @@ ENDS = {"earliest": -2, "latest": -1}
 Offset = str | int | dict[int, int]
 
 
-def offsets(topic: str, offset: Offset = "earliest", partitions: int = 1) -> str:
+def offsets(
+    topic: str, offset: Offset = "earliest", partitions: int = 1, others: str = "earliest"
+) -> str:
     """``earliest`` or ``latest`` as they are; a number for every partition; or one per partition.
 
-    Spark wants all partitions of the topic named. Partitions a dict leaves out start at the
-    earliest message.
+    Spark wants all partitions of the topic named. Partitions a dict leaves out get ``others``.
     """
     if isinstance(offset, str) and offset in ENDS:
         return offset
     if isinstance(offset, dict):
         named = {int(p): ENDS.get(o, o) for p, o in offset.items()}
-        given = {p: ENDS["earliest"] for p in range(partitions)} | named
+        given = {p: ENDS[others] for p in range(partitions)} | named
     else:
         given = dict.fromkeys(range(partitions), int(offset))
     per_partition = {str(p): int(o) for p, o in sorted(given.items())}
@@ -46,7 +47,7 @@ def kafka_options(
         "startingOffsets": offsets(topic, offset, partitions),
     }
     if until is not None:
-        known["endingOffsets"] = offsets(topic, until, partitions)
+        known["endingOffsets"] = offsets(topic, until, partitions, "latest")
     return known | {k.replace("_", "."): str(v) for k, v in options.items()}
 
 

@@ -14,21 +14,17 @@ def load_digest(rows: DataFrame) -> str:
     return f"{found['n']}_{found['digest'] or 0}".replace("-", "m")
 
 
-def write_days(rows: DataFrame, path: str, date: str = "date", load: str | None = None) -> None:
-    """JSON partitioned by ``$load`` and ``$date``, a copy of ``date``.
+def write_days(rows: DataFrame, path: str, date: str = "date") -> None:
+    """JSON partitioned by ``$date``, a copy of ``date``, replacing what was at ``path``.
 
-    A load replaces itself and nothing else: running it again changes nothing, and two loads that
-    share a day both stay. ``load`` names it, for instance by its range of offsets; by default a
-    digest of its rows does. The rebalance gathers each day into files of the advisory size: small
-    days share no task with many files, and a day with most rows is spread over several tasks.
+    The rebalance gathers each day into files of the advisory size: small days share no task with
+    many files, and a day with most rows is spread over several tasks.
     """
-    name = load if load is not None else load_digest(rows)
     (
-        rows.withColumns({"$load": F.lit(f"load_{name}"), "$date": F.col(date)})
+        rows.withColumn("$date", F.col(date))
         .hint("rebalance", F.col("`$date`"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("$load", "$date")
+        .partitionBy("$date")
         .json(path)
     )
 

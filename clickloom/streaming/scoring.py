@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.urls import url_domain
@@ -15,7 +15,7 @@ from ..plans.gender_age import TARGET, score_counts, score_logs
 from ..sources.kafka import json_messages, stream_topic
 from ..sources.readers import parse_json_column
 from ..sources.schemas import WEBLOGS
-from ..storage import child_folders, delete_path
+from ..storage import Files, Ledger
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -60,49 +60,76 @@ def running_counts(
 
 
 class CountStore:
-    """Table of running counts: changes by micro-batch, folded into a snapshot now and then.
+    """Table of running counts, in buckets by user.
 
     It lies in ``{path}/{run}``; give each checkpoint a ``run`` of its own, so that a fresh
-    checkpoint never meets the batches of an old one. A batch replaces its own folder, so running
-    it again after a failure leaves no second copy. Every ``compact_every`` batches the current
-    counts become a snapshot and what it covers is deleted.
+    checkpoint never meets the batches of an old one. A ledger names the folder that holds each
+    bucket. A batch reads and rewrites only the buckets of its users, into a folder of its own, and
+    counts when its ledger entry stands; what that entry no longer names is deleted after the next
+    one. So a batch that was lost at any step runs again, and one that has been entered changes
+    nothing when it comes again, whatever its number.
     """
 
-    def __init__(self, spark: SparkSession, path: str, run: str, compact_every: int = 20):
+    def __init__(self, spark: SparkSession, path: str, run: str, buckets: int = 256):
         self._spark = spark
         self._root = f"{path.rstrip('/')}/{run}"
-        self._compact_every = compact_every
-
-    def _numbers(self, kind: str) -> list[int]:
-        names = child_folders(self._spark, self._root)
-        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}="))
-
-    def _folders(self) -> list[str]:
-        """The newest complete snapshot and the batches after it."""
-        done = [
-            n for n in self._numbers("snapshot") if self._complete(f"{self._root}/snapshot={n}")
+        self._buckets = buckets
+        self._ledger = Ledger(spark, f"{self._root}/_batches")
+        self._files = Files(spark)
+
+    def _bucket(self) -> F.Column:
+        return F.pmod(F.xxhash64("uid"), F.lit(self._buckets)).cast("int")
+
+    def _touched(self, users: DataFrame) -> list[int]:
+        """Buckets of the users: at most as many rows as there are buckets."""
+        rows = users.select(self._bucket().alias("bucket")).distinct().collect()
+        return sorted(r["bucket"] for r in rows)
+
+    def _read(self, entry: dict, buckets: list[int] | None) -> DataFrame:
+        held = entry.get("buckets", {})
+        wanted = held if buckets is None else [str(b) for b in buckets if str(b) in held]
+        paths = [f"{self._root}/{held[b]}/bucket={b}" for b in wanted]
+        return self._spark.read.schema(entry["schema"]).parquet(*paths)
+
+    def write(self, changed: DataFrame, batch_id: int) -> list[int]:
+        """Enter the changed counts of a batch; returns the buckets it touches."""
+        touched = self._touched(changed)
+        last, entry = self._ledger.newest()
+        if batch_id <= last:
+            return touched  # entered before
+        buckets = dict(entry.get("buckets", {}))
+        folder = f"batch={batch_id}"
+        rows = changed
+        if any(str(b) in buckets for b in touched):
+            rows = self._read(entry, touched).unionByName(changed)
+        if touched:
+            # A running count never falls, so the greatest one is the newest.
+            keys = [c for c in changed.columns if c != "cnt"]
+            (
+                rows.groupBy(*keys)
+                .agg(F.max("cnt").alias("cnt"))
+                .withColumn("bucket", self._bucket())
+                .hint("rebalance", "bucket")
+                .write.mode("overwrite")
+                .partitionBy("bucket")
+                .parquet(f"{self._root}/{folder}")
+            )
+        buckets |= dict.fromkeys(map(str, touched), folder)
+        # The entry before this one may still be read; what only older ones name may go.
+        spare = [
+            f"{held}/bucket={b}" for b, held in entry.get("buckets", {}).items() if buckets[b] != held
         ]
-        last = done[-1] if done else -1
-        batches = [f"{self._root}/batch={n}" for n in self._numbers("batch") if n > last]
-        return [f"{self._root}/snapshot={last}"] * bool(done) + batches
-
-    def _complete(self, folder: str) -> bool:
-        path = self._spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-        return path.getFileSystem(self._spark._jsc.hadoopConfiguration()).exists(path)
-
-    def write(self, changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{self._root}/batch={batch_id}")
-        if (batch_id + 1) % self._compact_every == 0:
-            covered = self._folders()
-            self.read().write.mode("overwrite").parquet(f"{self._root}/snapshot={batch_id}")
-            for folder in covered:
-                delete_path(self._spark, folder)
+        schema = T.StructType([f for f in changed.schema if f.name != "cnt"] + [changed.schema["cnt"]])
+        layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        content = {"buckets": buckets, "schema": layout, "spare": spare}
+        for old in entry.get("spare", []):
+            self._files.delete(f"{self._root}/{old}")
+        self._ledger.append(content, batch_id)
+        return touched
 
-    def read(self) -> DataFrame:
-        """Current counts: a running count never falls, so the greatest one is the newest."""
-        stored = self._spark.read.parquet(*self._folders())
-        keys = [c for c in stored.columns if c != "cnt"]
-        return stored.groupBy(*keys).agg(F.max("cnt").alias("cnt"))
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        """Current counts, of all users or those of some buckets."""
+        return self._read(self._ledger.newest()[1], buckets)
 
 
 def store_counts(counts: DataFrame, store: CountStore, checkpoint: str) -> DataStreamWriter:
@@ -133,9 +160,10 @@ def score_users(
     """
 
     def score(changed: DataFrame, batch_id: int) -> None:
-        store.write(changed, batch_id)
-        users = changed.select("uid").distinct()
-        deliver(score_counts(model, restrict_to(store.read(), users)), batch_id)
+        buckets = store.write(changed, batch_id)
+        if buckets:
+            users = changed.select("uid").distinct()
+            deliver(score_counts(model, restrict_to(store.read(buckets), users)), batch_id)
 
     return (
         running_counts(messages, strip)

@@ -79,7 +79,7 @@ def test_split_replaces_only_its_own_load(spark, rows, tmp_path):
     store(rows, path, *first)
     store(rows, path, ("b", "view", "c", "i", 1), ("c", "view", "c", "i", 2))
     store(rows, path, *first)
-    assert sorted(os.listdir(path)) == ["buy", "view"]
+    assert sorted(n for n in os.listdir(path) if n[0] != "_") == ["buy", "view"]
     found = readers.read_days(spark, f"{path}/view", STORED_VISITS).collect()
     assert sorted((r.uid, r.date) for r in found) == [
         ("a", "20240101"), ("a", "20240102"), ("b", "20240102"), ("c", "20240103"),
@@ -245,7 +245,7 @@ def test_running_counts_over_batches(spark, rows, tmp_path):
     for logs in (LOGS_1, LOGS_2, LOGS_1):
         messages(spark, rows, source, logs)
         counts = scoring.running_counts(spark.readStream.text(source))
-        store_ = scoring.CountStore(spark, out, "run", compact_every=2)
+        store_ = scoring.CountStore(spark, out, "run", buckets=2)
         scoring.run_available(scoring.store_counts(counts, store_, checkpoint))
     found = {(r.uid, r.domain): r.cnt for r in store_.read().collect()}
     assert found == {
