@@ -31,6 +31,7 @@ from clickloom.operators import (
 )
 from clickloom.plans import (
     data_mart as mart,
+    domain_dictionary as dictionary_plan,
     event_split as event_plan,
     gender_age,
     label_study,
@@ -40,7 +41,7 @@ from clickloom.plans import (
 )
 from clickloom.sources import kafka, readers, sample_tables as tables, writers
 from clickloom.sources.schemas import STORED_VISITS, WEBLOGS
-from clickloom.storage import shared_path
+from clickloom.storage import Workspace, shared_path
 from clickloom.streaming import scoring
 
 # The training-data operators and their pipeline may be absent; all else works without them.
@@ -166,6 +167,35 @@ def event_split(spark, sf_dir):
     )
 
 
+@query
+def topic_reload(spark, sf_dir):
+    """A topic read in part, then from its earliest offset, then once more: each event once."""
+    with Workspace(spark) as work:
+        events = tables.shop_visits(spark, sf_dir).drop("date")
+        values = kafka.json_messages(events).withColumns(
+            {
+                "topic": F.lit("shop"),
+                "partition": F.spark_partition_id() % 2,
+                "offset": F.monotonically_increasing_id(),
+            }
+        )
+        messages = work.stage(values, "topic")
+        middle = messages.agg(F.floor(F.avg("offset"))).scalar()
+        path = shared_path(spark, "reloaded")
+        for part in (messages.filter(F.col("offset") < middle), messages, messages):
+            event_plan.split_messages(part, path)
+    layout = T.StructType(STORED_VISITS.fields + [T.StructField("$date", T.StringType())])
+    trees = [
+        readers.read_json(spark, f"{path}/{t}", layout).withColumn("tree", F.lit(t))
+        for t in event_plan.EVENT_TYPES
+    ]
+    return (
+        visits.union_logs(*trees)
+        .groupBy("tree", "event_type", "date", F.col("`$date`").alias("folder"))
+        .agg(F.count("*").alias("n"), F.sum("timestamp").alias("sum_timestamp"))
+    )
+
+
 @query
 def rows_to_json(spark, sf_dir):
     return kafka.json_messages(tables.clients(spark, sf_dir), "clients")
@@ -302,6 +332,27 @@ def utc_date(spark, sf_dir):
     )
 
 
+@query
+def text_times(spark, sf_dir):
+    """Times written in several layouts, and texts that are none, back to milliseconds."""
+    second = F.substring(times.utc_time_text(times.epoch_millis("ts")), 1, 19)
+    day, month, year = (F.substring(second, *at) for at in ((9, 2), (6, 2), (1, 4)))
+    texts = [
+        second,
+        F.concat(F.replace(second, F.lit(" "), F.lit("T")), F.lit("+02:00")),
+        F.concat_ws(".", day, month, F.concat(year, F.substring(second, 11, 6))),
+        F.substring(second, 1, 10),
+        F.concat(year, month, day),
+        F.concat(F.lit("31.02."), year, F.lit(" 10:00")),
+        F.lit("  "),
+        F.lit(None).cast("string"),
+    ]
+    kind = F.pmod("event_id", F.lit(len(texts))).cast("int")
+    text = F.get(F.array(*texts), kind).alias("text")
+    written = tables.table(spark, sf_dir, "events").select("event_id", text)
+    return cleaning.parse_times(written, "text").withColumn("day", times.utc_date_text("millis"))
+
+
 @query
 def explode_visits(spark, sf_dir):
     return visits.explode_visits(tables.weblogs(spark, sf_dir))
@@ -512,6 +563,25 @@ def domain_tokens(spark, sf_dir):
     return tokens.select("uid", "block", _joined("domain_features").alias("domain_features"))
 
 
+@query
+def domain_dictionary(spark, sf_dir):
+    counts = visits.user_domain_counts(tables.web_visits(spark, sf_dir))
+    with Workspace(spark) as work:
+        found = dictionary_plan.dictionary(counts, work)
+        work.keep(found)
+    return found
+
+
+@query
+def dictionary_cut(spark, sf_dir):
+    """What a cut at the most frequent half of the domains leaves out."""
+    counts = visits.user_domain_counts(tables.web_visits(spark, sf_dir))
+    with Workspace(spark) as work:
+        terms = dictionary_plan.dictionary(counts, work)
+        work.keep(terms)
+    return dictionary_plan.cut(terms, terms.count() // 2)[1]
+
+
 @query
 def bag_of_domains(spark, sf_dir):
     counts = visits.user_domain_counts(tables.web_visits(spark, sf_dir))
@@ -897,6 +967,21 @@ def stream_tokens_stateful(spark, sf_dir):
     return store.read()
 
 
+@query
+def counts_replay(spark, sf_dir):
+    """Running counts in three batches, each of which comes twice, and an old one again."""
+    counts = visits.user_domain_counts(tables.web_visits(spark, sf_dir))
+    store = scoring.CountStore(spark, shared_path(spark, "replayed"), "run", buckets=16)
+    own = F.pmod(F.xxhash64("uid", "domain"), F.lit(2))
+    half = counts.withColumn("cnt", F.ceil(F.col("cnt") / 2).cast("long"))
+    batches = [half, counts.filter(own == 0), counts.filter(own == 1)]
+    for number, batch in enumerate(batches):
+        for _ in range(2):
+            store.write(batch, number)
+    store.write(half, 1)
+    return store.read()
+
+
 @query
 def stream_score(spark, sf_dir):
     """Scores of the users in a stream, next to the batch scores of their whole logs."""

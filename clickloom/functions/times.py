@@ -5,6 +5,9 @@ All of them count from a zone-less epoch, so the session time zone cannot shift
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
 # Weekday abbreviations, Monday first, as `weekday()` counts.
@@ -77,3 +80,52 @@ def is_work_hour(hour: Column) -> Column:
 
 def is_evening_hour(hour: Column) -> Column:
     return _within(hour, EVENING_HOURS)
+
+
+# Layouts of text times that are tried in this order; a log may have others.
+TEXT_LAYOUTS = (
+    "yyyy-MM-dd HH:mm:ss",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
+    "yyyy-MM-dd'T'HH:mm:ssXXX",
+    "dd.MM.yyyy HH:mm",
+    "yyyy-MM-dd",
+    "yyyyMMdd",
+)
+# Letters of a layout that name a zone or an offset.
+_ZONE = re.compile("[VzOXxZ]")
+
+
+def _parsed(text: Column, layout: str, zone: str) -> Column:
+    if _ZONE.search(re.sub("'[^']*'", "", layout)):
+        found = F.try_to_timestamp(text, F.lit(layout))
+    else:
+        # The zone is named in the text, so that the session's zone has no part in it.
+        found = F.try_to_timestamp(F.concat(text, F.lit(f" {zone}")), F.lit(f"{layout} VV"))
+    return F.unix_millis(found)
+
+
+def text_millis(
+    text: Column | str, layouts: Sequence[str] = TEXT_LAYOUTS, zone: str = "UTC"
+) -> Column:
+    """Epoch milliseconds of a text time by the first layout that fits; null where none does.
+
+    A text without a zone of its own is in ``zone``. Blanks around a text do not count.
+    """
+    trimmed = F.trim(_as_column(text))
+    return F.coalesce(*[_parsed(trimmed, layout, zone) for layout in layouts])
+
+
+def text_date(
+    text: Column | str, layouts: Sequence[str] = TEXT_LAYOUTS, zone: str = "UTC"
+) -> Column:
+    """UTC day of a text time."""
+    return utc_date(text_millis(text, layouts, zone))
+
+
+def text_layout(
+    text: Column | str, layouts: Sequence[str] = TEXT_LAYOUTS, zone: str = "UTC"
+) -> Column:
+    """The layout that fits first; null where none does."""
+    trimmed = F.trim(_as_column(text))
+    found = [F.when(_parsed(trimmed, p, zone).isNotNull(), F.lit(p)) for p in layouts]
+    return F.coalesce(*found)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.times import TEXT_LAYOUTS, text_millis
 from .ranks import hash_key
 
 
@@ -46,3 +47,29 @@ def null_census(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 def sample_rows(rows: DataFrame, n: int, id_column: str, seed: int | str = 42) -> DataFrame:
     """``n`` rows in the order of a seeded hash; the same rows on every run and cluster."""
     return rows.orderBy(hash_key(seed, id_column)).limit(n)
+
+
+def parse_times(
+    rows: DataFrame,
+    column: str,
+    output: str = "millis",
+    layouts: Sequence[str] = TEXT_LAYOUTS,
+    zone: str = "UTC",
+) -> DataFrame:
+    """Add the epoch milliseconds of a text time and, where there are none, the ``reason``.
+
+    Reasons are ``missing``, ``empty`` and ``no layout``; it is null for parsed rows, so no row is
+    lost and `unparsed` keeps the others apart.
+    """
+    text = F.col(column)
+    reason = (
+        F.when(text.isNull(), "missing")
+        .when(F.trim(text) == "", "empty")
+        .when(F.col(output).isNull(), "no layout")
+    )
+    return rows.withColumn(output, text_millis(text, layouts, zone)).withColumn("reason", reason)
+
+
+def unparsed(rows: DataFrame) -> DataFrame:
+    """Rows of `parse_times` that have no time, with their reason."""
+    return rows.filter(F.col("reason").isNotNull())

@@ -28,6 +28,25 @@ HOST = r"regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)', 1)"
 DOMAIN = rf"regexp_replace(lower({HOST}), '^www\.', '')"
 MILLIS = "epoch_us(ts) // 1000"
 
+TEXT_TIMES = """WITH written AS (
+  SELECT event_id, CASE event_id % 8
+    WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+    WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+02:00'
+    WHEN 2 THEN strftime(ts, '%d.%m.%Y %H:%M')
+    WHEN 3 THEN strftime(ts, '%Y-%m-%d')
+    WHEN 4 THEN strftime(ts, '%Y%m%d')
+    WHEN 5 THEN '31.02.' || strftime(ts, '%Y') || ' 10:00'
+    WHEN 6 THEN '  ' END AS text FROM events),
+parsed AS (
+  SELECT event_id, text, epoch_ms(coalesce(
+    try_strptime(text, ['%Y-%m-%d %H:%M:%S', '%d.%m.%Y %H:%M', '%Y-%m-%d', '%Y%m%d']),
+    CASE WHEN text LIKE '%+02:00' THEN
+      try_strptime(left(text, 19), '%Y-%m-%dT%H:%M:%S') - INTERVAL 2 HOURS END)) AS millis
+  FROM written)
+SELECT event_id, text, millis,
+  CASE WHEN text IS NULL THEN 'missing' WHEN trim(text) = '' THEN 'empty'
+       WHEN millis IS NULL THEN 'no layout' END AS reason,
+  strftime(epoch_ms(millis), '%Y-%m-%d') AS day FROM parsed"""
 WEB = f"""web AS (
   SELECT CAST(e.user_id AS VARCHAR) AS uid, {MILLIS} AS timestamp, p.url, e.event_id, e.ts
   FROM events e JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages))"""
@@ -38,6 +57,10 @@ TOP = f"""top AS (
   ORDER BY count DESC, domain LIMIT {TOP_N})"""
 EVERY = """top AS (
   SELECT domain, sum(cnt)::BIGINT AS count FROM counts WHERE domain IS NOT NULL GROUP BY domain)"""
+RANKED = """ranked AS (
+  SELECT row_number() OVER (ORDER BY count DESC, domain) - 1 AS term, domain, count
+  FROM (SELECT domain, sum(cnt)::BIGINT AS count FROM counts
+        WHERE domain IS NOT NULL GROUP BY domain))"""
 GRID = """grid AS (
   SELECT u.uid, t.domain, coalesce(c.cnt, 0) AS cnt
   FROM (SELECT DISTINCT uid FROM web) u CROSS JOIN top t
@@ -184,6 +207,11 @@ def _sources_and_filters() -> dict[str, str]:
             select="SELECT event_type AS tree, event_type, date, date AS folder, count(*) AS n, "
             "sum(timestamp)::BIGINT AS sum_timestamp FROM shop GROUP BY ALL",
         ),
+        "topic_reload": _with(
+            SHOP,
+            select="SELECT event_type AS tree, event_type, date, date AS folder, count(*) AS n, "
+            "sum(timestamp)::BIGINT AS sum_timestamp FROM shop GROUP BY ALL",
+        ),
         "rows_to_json": _with(
             CLIENTS,
             select="SELECT CAST(to_json({'uid': uid, 'segment': segment, 'nation': nation}) "
@@ -239,6 +267,7 @@ def _functions() -> dict[str, str]:
         "utc_date": f"SELECT event_id, {MILLIS} AS timestamp, strftime(ts, '%Y%m%d') AS day, "
         "strftime(ts, '%Y-%m-%d') AS date_text, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time_text, "
         "lower(strftime(ts, '%a')) AS weekday, hour(ts)::INTEGER AS hour FROM events",
+        "text_times": TEXT_TIMES,
         "explode_visits": _with(
             WEB, select="SELECT uid, event_id // 1000 AS block, timestamp, url FROM web"
         ),
@@ -334,6 +363,17 @@ def _web_features() -> dict[str, str]:
             f"string_agg({DOMAIN}, ',' ORDER BY timestamp, url) AS domain_features "
             "FROM web GROUP BY ALL",
         ),
+        "domain_dictionary": _with(
+            WEB, COUNTS, RANKED,
+            select="SELECT term, domain, count FROM ranked",
+        ),
+        "dictionary_cut": _with(
+            WEB, COUNTS, RANKED,
+            select="SELECT count(*) AS terms, sum(count)::BIGINT AS visits, "
+            "count(*) FILTER (term >= size) AS terms_left_out, "
+            "coalesce(sum(count) FILTER (term >= size), 0)::BIGINT AS visits_left_out "
+            "FROM ranked, (SELECT count(*) // 2 AS size FROM ranked)",
+        ),
         "bag_of_domains": _with(
             WEB, COUNTS, EVERY, GRID,
             select="SELECT g.uid, string_agg(CAST(g.cnt AS VARCHAR), ',' "
@@ -581,6 +621,9 @@ def _streams() -> dict[str, str]:
             f"string_agg({DOMAIN}, ',' ORDER BY timestamp, url) AS domain_features "
             "FROM web GROUP BY ALL)",
         ),
+        "counts_replay": _with(
+            WEB, COUNTS, select="SELECT uid, domain, cnt FROM counts"
+        ),
         "stream_tokens_stateful": _with(
             WEB, COUNTS, select="SELECT uid, domain, cnt FROM counts"
         ),
