@@ -663,6 +663,28 @@ def one_hot(spark, sf_dir):
     return encoders.one_hot(study, STUDY_LEVELS)
 
 
+@query
+def ordered_target(spark, sf_dir):
+    """Target statistics of two categories from the rows earlier in a seeded order."""
+    study = tables.study(spark, sf_dir).select("doc_id", "lang", "source", "toxic")
+    found = encoders.ordered_target(study, ["lang", "source"], "toxic", "doc_id", seed=7)
+    rounded = {c: F.round(c, 9) for c in ("lang_target", "source_target")}
+    return found.withColumns(rounded)
+
+
+@query
+def target_encode(spark, sf_dir):
+    """Documents without a label, by the statistics of those with one."""
+    study = tables.study(spark, sf_dir)
+    table = encoders.target_table(study, "source", "toxic")
+    prior = encoders.target_prior(study, "toxic")
+    labelled = study.select("doc_id")
+    others = tables.table(spark, sf_dir, "documents").select("doc_id", "source")
+    others = others.join(labelled, "doc_id", "left_anti")
+    found = encoders.with_target(others, table, "source", prior)
+    return found.withColumn("source_target", F.round("source_target", 9))
+
+
 @query
 def standardize(spark, sf_dir):
     columns = ["n_chars", "quality"]

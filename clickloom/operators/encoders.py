@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .pivots import listed, quoted
+from .ranks import hash_digits, row_key, running_sums
 
 
 def label_indexer(
@@ -95,3 +96,64 @@ def standardize(
         for c in columns
     }
     return rows.withColumn("_stats", stats).withColumns(scaled).drop("_stats")
+
+
+def _smoothed(total: Column, n: Column, prior: Column, weight: float) -> Column:
+    return (total + weight * prior) / (n + weight)
+
+
+def target_prior(rows: DataFrame, target: str) -> float:
+    """Mean of the target over all rows; 0 where there are none."""
+    return rows.agg(F.coalesce(F.avg(F.col(target).cast("double")), F.lit(0.0))).first()[0]
+
+
+def ordered_target(
+    rows: DataFrame,
+    columns: Sequence[str],
+    target: str,
+    id_column: str,
+    seed: int = 0,
+    weight: float = 1.0,
+) -> DataFrame:
+    """Add ``{column}_target``: the mean target of earlier rows of the same category.
+
+    Earlier is meant in one shuffled order of all rows, so no row's own target is in its value, and
+    a category of any width is one number. The mean of all rows counts as ``weight`` rows more; a
+    null is a category, rows without a target add nothing. A category with a third of all rows is
+    summed in buckets of the order, never in one task.
+    """
+    prior = F.lit(target_prior(rows, target))
+    known = F.col(target).isNotNull()
+    keyed = rows.withColumns(
+        {
+            "_hash": row_key(rows, seed, id_column),
+            "_n": F.when(known, 1).otherwise(0),
+            "_target": F.coalesce(F.col(target).cast("double"), F.lit(0.0)),
+        }
+    )
+    bucket = F.substring("_hash", 1, hash_digits(rows))
+    for column in columns:
+        summed = running_sums(
+            keyed.withColumn("_bucket", bucket), "_hash", ["_n", "_target"], [column]
+        )
+        value = _smoothed(F.col("before__target"), F.col("before__n"), prior, weight)
+        keyed = summed.withColumn(f"{column}_target", value).drop("before__n", "before__target")
+    return keyed.drop("_hash", "_n", "_target")
+
+
+def target_table(rows: DataFrame, column: str, target: str, weight: float = 1.0) -> DataFrame:
+    """``(column, column_target)`` of each category over all rows, for rows that were not fitted."""
+    prior = F.lit(target_prior(rows, target))
+    value = _smoothed(
+        F.coalesce(F.sum(F.col(target).cast("double")), F.lit(0.0)), F.count(target), prior, weight
+    )
+    return rows.groupBy(column).agg(value.alias(f"{column}_target"))
+
+
+def with_target(
+    rows: DataFrame, table: DataFrame, column: str, prior: float
+) -> DataFrame:
+    """Add ``{column}_target`` of a `target_table`; categories it lacks get the prior."""
+    value = F.coalesce(F.col(f"t.{column}_target"), F.lit(prior)).alias(f"{column}_target")
+    same = F.col(f"r.{quoted(column)}").eqNullSafe(F.col(f"t.{quoted(column)}"))
+    return rows.alias("r").join(table.alias("t"), same, "left").select("r.*", value)

@@ -444,6 +444,29 @@ def _encoders_and_splits() -> dict[str, str]:
         "label_index": "SELECT CAST(c_custkey AS VARCHAR) AS uid, label FROM customer JOIN ("
         "SELECT c_mktsegment, (row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) - 1)"
         "::DOUBLE AS label FROM customer GROUP BY 1) USING (c_mktsegment)",
+        "ordered_target": _with(
+            STUDY,
+            select="SELECT doc_id, lang, source, toxic, "
+            + ", ".join(
+                f"round((coalesce(sum(toxic) OVER {c}_before, 0) + avg(toxic) OVER ()) / "
+                f"(count(toxic) OVER {c}_before + 1), 9) AS {c}_target"
+                for c in ("lang", "source")
+            )
+            + " FROM study WINDOW "
+            + ", ".join(
+                f"{c}_before AS (PARTITION BY {c} ORDER BY md5('7-' || doc_id) "
+                "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+                for c in ("lang", "source")
+            ),
+        ),
+        "target_encode": _with(
+            STUDY,
+            select="SELECT d.doc_id, d.source, round(coalesce(s.value, p.prior), 9) "
+            "AS source_target FROM documents d ANTI JOIN labels l USING (doc_id) "
+            "CROSS JOIN (SELECT avg(toxic) AS prior FROM study) p LEFT JOIN ("
+            "SELECT source, (sum(toxic) + (SELECT avg(toxic) FROM study)) / (count(toxic) + 1) "
+            "AS value FROM study GROUP BY source) s ON s.source IS NOT DISTINCT FROM d.source",
+        ),
         "one_hot": _with(
             STUDY,
             select="SELECT doc_id, "
