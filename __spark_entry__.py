@@ -30,6 +30,7 @@ from clickloom.operators import (
     visits,
 )
 from clickloom.plans import (
+    batch_inference,
     data_mart as mart,
     domain_dictionary as dictionary_plan,
     event_split as event_plan,
@@ -42,7 +43,7 @@ from clickloom.plans import (
 from clickloom.sources import kafka, readers, sample_tables as tables, writers
 from clickloom.sources.schemas import STORED_VISITS, WEBLOGS
 from clickloom.storage import Workspace, shared_path
-from clickloom.streaming import scoring
+from clickloom.streaming import delivery, scoring
 
 # The training-data operators and their pipeline may be absent; all else works without them.
 try:
@@ -268,6 +269,13 @@ def sample_rows(spark, sf_dir):
     return cleaning.sample_rows(documents, 8, "doc_id")
 
 
+@query
+def sample_share(spark, sf_dir):
+    """A tenth of the documents, decided row by row."""
+    documents = tables.table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return cleaning.sample_share(documents, 0.1, "doc_id")
+
+
 @query
 def fill_zero(spark, sf_dir):
     study = cleaning.coerce_numeric(tables.study(spark, sf_dir), ["TotalSpent"])
@@ -959,6 +967,17 @@ def linear_head_report(spark, sf_dir):
     return report.select("label", "support", shares.alias("shares"))
 
 
+@query
+def own_model(spark, sf_dir):
+    """Each vector's nearest class mean and its distance, by a model loaded once per worker."""
+    rows = tables.vectors(spark, sf_dir)
+    labels, size, load = batch_inference.broadcast_model(batch_inference.class_means(rows))
+    scored = batch_inference.score_batches(rows, load, size)
+    nearest = batch_inference.nearest_class(scored, labels)
+    distance = F.round(F.array_min("scores"), 4).alias("distance")
+    return nearest.select("vec_id", "nearest", F.size("scores").alias("classes"), distance)
+
+
 # Streams
 
 
@@ -1004,19 +1023,49 @@ def counts_replay(spark, sf_dir):
     return store.read()
 
 
+@query
+def outbox_replay(spark, sf_dir):
+    """Visits per user and domain sent in two batches: one is lost halfway, and both come again."""
+    counts = visits.user_domain_counts(tables.web_visits(spark, sf_dir))
+    path = shared_path(spark, "outbox")
+    target = f"{path}/target"
+    layout = "key STRING, value STRING"
+    lost = []
+
+    def send(rows):
+        if not lost:
+            lost.append(rows)
+            rows.filter(F.pmod(F.xxhash64("key"), F.lit(2)) == 0).write.parquet(target)
+            raise ConnectionError("lost halfway")
+        rows.write.mode("append").parquet(target)
+
+    def sent(batch_id, since):
+        found = spark.read.schema(layout).parquet(target)
+        return found.filter(F.col("key").startswith(delivery.key_prefix("run", batch_id)))
+
+    outbox = delivery.Outbox(spark, path, "run", ("uid", "domain"), send, sent)
+    own = F.pmod(F.xxhash64("uid", "domain"), F.lit(2))
+    for batch_id in (0, 0, 1, 0, 1):
+        try:
+            outbox(counts.filter(own == batch_id), batch_id)
+        except ConnectionError:
+            continue
+    message = F.from_json("value", counts.schema).alias("m")
+    return spark.read.schema(layout).parquet(target).select(message).select("m.*")
+
+
 @query
 def stream_score(spark, sf_dir):
     """Scores of the users in a stream, next to the batch scores of their whole logs."""
     model = gender_age.train_counts(tables.labelled_counts(spark, sf_dir))
     path, checkpoint = shared_path(spark, "scores"), shared_path(spark, "scores-checkpoint")
     store = scoring.CountStore(spark, shared_path(spark, "score-counts"), "run")
-    writer = scoring.score_users(
-        model, _messages(spark, sf_dir), store, checkpoint, scoring.deliver_to_table(path)
-    )
+    scores = delivery.ScoreTable(spark, path)
+    writer = scoring.score_users(model, _messages(spark, sf_dir), store, checkpoint, scores)
     scoring.run_available(writer)
     batch = gender_age.score_counts(
         model, visits.user_domain_counts(tables.web_visits(spark, sf_dir))
     ).withColumnRenamed(gender_age.TARGET, "batch_score")
-    both = scoring.latest_scores(spark, path).join(batch, "uid", "full")
+    both = scores.read().join(batch, "uid", "full")
     agrees = F.coalesce(F.col(gender_age.TARGET) == F.col("batch_score"), F.lit(False))
     return both.select("uid", agrees.alias("agrees"))

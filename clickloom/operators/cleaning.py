@@ -49,6 +49,22 @@ def sample_rows(rows: DataFrame, n: int, id_column: str, seed: int | str = 42) -
     return rows.orderBy(hash_key(seed, id_column)).limit(n)
 
 
+def sample_share(
+    rows: DataFrame, share: float, id_column: str, seed: int | str = 42
+) -> DataFrame:
+    """The rows whose seeded hash lies in the lowest ``share`` of all hash values.
+
+    Each row is decided by itself: no shuffle, the same rows on every run and cluster, and a larger
+    share holds all rows of a smaller one. The number of rows is near the share, not exact.
+    """
+    if not 0 <= share <= 1:
+        raise ValueError("share lies between 0 and 1")
+    limit = round(share * (1 << 32))
+    if limit == 1 << 32:
+        return rows
+    return rows.filter(F.substring(hash_key(seed, id_column), 1, 8) < F.lit(f"{limit:08x}"))
+
+
 def parse_times(
     rows: DataFrame,
     column: str,

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.names import normalize_name
 from ..functions.urls import url_host, url_domain
+from ..operators.membership import Members
 from ..operators.pivots import pivot_counts
+from ..storage import Workspace
 
 
 def shop_matrix(shop_visits: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
@@ -68,9 +70,18 @@ def data_mart(
 ) -> DataFrame:
     """All clients with their shop and web counts; clients without visits keep nulls.
 
-    The logs are counted per user before they meet the clients. The left joins leave out users
-    who are no clients, so the logs need no join of their own for that.
+    A log whose columns are stated loses the rows of users who are no clients while it is scanned
+    (`Members`), so an unlisted category of theirs alone need not be an error; the left joins leave
+    out the few that pass. Without stated columns every user's categories become columns, and the
+    log stays whole. What is left is counted per user before it meets the clients.
     """
+    members = None
+    if shop_values is not None or web_values is not None:
+        members = Members(clients, "uid", Workspace(clients.sparkSession))
+    if shop_values is not None:
+        shop_visits = members.reduce(shop_visits)
+    if web_values is not None:
+        visits = members.reduce(visits)
     shop = shop_matrix(shop_visits, shop_values)
     web = web_matrix(visits, domain_categories, web_values, key)
     return clients.join(shop, "uid", "left").join(web, "uid", "left")

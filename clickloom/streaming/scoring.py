@@ -11,11 +11,12 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.urls import url_domain
 from ..operators.visits import domain_tokens, explode_visits, restrict_to
-from ..plans.gender_age import TARGET, score_counts, score_logs
-from ..sources.kafka import json_messages, stream_topic
+from ..plans.gender_age import score_counts, score_logs
+from ..sources.kafka import stream_topic
 from ..sources.readers import parse_json_column
 from ..sources.schemas import WEBLOGS
 from ..storage import Files, Ledger
+from .delivery import topic_outbox
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -156,7 +157,8 @@ def score_users(
     """Writer that scores, in each micro-batch, the users whose counts changed.
 
     A user is scored from the counts of all their messages so far, as the model was fitted.
-    ``deliver`` gets ``(uid, gender_age)`` and the number of the batch; a batch may come again.
+    ``deliver`` gets ``(uid, gender_age)`` and the number of the batch; a batch may come again, which
+    an `Outbox` and a `ScoreTable` of `delivery` allow for.
     """
 
     def score(changed: DataFrame, batch_id: int) -> None:
@@ -173,30 +175,6 @@ def score_users(
     )
 
 
-def deliver_to_table(path: str) -> Callable[[DataFrame, int], None]:
-    """Scores of each batch in a folder of their own; `latest_scores` reads them."""
-
-    def deliver(scores: DataFrame, batch_id: int) -> None:
-        scores.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return deliver
-
-
-def deliver_to_topic(servers: str, topic: str) -> Callable[[DataFrame, int], None]:
-    def deliver(scores: DataFrame, batch_id: int) -> None:
-        options = {"kafka.bootstrap.servers": servers, "topic": topic}
-        json_messages(scores, topic).write.format("kafka").options(**options).save()
-
-    return deliver
-
-
-def latest_scores(spark: SparkSession, path: str) -> DataFrame:
-    """One row per user: the score of the last batch they were in."""
-    scores = spark.read.parquet(path)
-    newest = F.max_by(TARGET, "batch").alias(TARGET)
-    return scores.groupBy("uid").agg(newest)
-
-
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
     """Process what the source holds now, then stop; for catch-up runs and tests."""
     query = writer.trigger(availableNow=True).start()
@@ -225,7 +203,7 @@ def score_topic(
     trigger: dict | None = None,
     **options,
 ) -> StreamingQuery:
-    """Score the users of one topic to another until stopped.
+    """Score the users of one topic to another until stopped, each batch sent exactly once.
 
     ``trigger`` has the arguments of the writer's ``trigger``, such as
     ``{"processingTime": "1 minute"}``; ``options`` are those of `stream_topic`.
@@ -237,6 +215,6 @@ def score_topic(
         stream_topic(spark, servers, input_topic, **options),
         CountStore(spark, store_path, run),
         checkpoint,
-        deliver_to_topic(servers, output_topic),
+        topic_outbox(spark, f"{store_path}/_outbox", run, servers, output_topic),
     )
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -246,6 +246,8 @@ def _sources_and_filters() -> dict[str, str]:
         ),
         "sample_rows": "SELECT doc_id, lang, source FROM documents "
         "ORDER BY md5('42-' || doc_id) LIMIT 8",
+        "sample_share": "SELECT doc_id, lang, source FROM documents "
+        "WHERE md5('42-' || doc_id)[1:8] < '1999999a'",
     }
 
 
@@ -528,6 +530,15 @@ def _models() -> dict[str, str]:
         "elastic_net": "SELECT unnest(range(28))::INTEGER AS pos, true AS optimal",
         "cv_accuracy": f"SELECT {fold} AS fold, count(*) AS n, true AS accurate "
         f"FROM ({study}) GROUP BY 1",
+        "own_model": _with(
+            "vals AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, "
+            "generate_subscripts(embedding, 1) AS pos FROM embeddings)",
+            "means AS (SELECT label, pos, avg(v) AS mean FROM vals GROUP BY ALL)",
+            "gaps AS (SELECT vec_id, m.label, sum((v - mean) * (v - mean)) AS gap "
+            "FROM vals JOIN means m USING (pos) GROUP BY ALL)",
+            select="SELECT vec_id, arg_min(label, gap) AS nearest, count(*)::INTEGER AS classes, "
+            "round(min(gap), 4) AS distance FROM gaps GROUP BY vec_id",
+        ),
         "linear_head": _with(
             head,
             select="SELECT vec_id, label, (SELECT count(DISTINCT label) FROM embeddings)::INTEGER "
@@ -647,6 +658,9 @@ def _streams() -> dict[str, str]:
         "counts_replay": _with(
             WEB, COUNTS, select="SELECT uid, domain, cnt FROM counts"
         ),
+        "outbox_replay": _with(
+            WEB, COUNTS, select="SELECT uid, domain, cnt FROM counts"
+        ),
         "stream_tokens_stateful": _with(
             WEB, COUNTS, select="SELECT uid, domain, cnt FROM counts"
         ),
