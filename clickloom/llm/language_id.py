@@ -134,10 +134,12 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
         counts = work.stage(
             partial.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words"
         )
-        totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+        totals = work.stage(
+            counts.groupBy("lang").agg(F.sum("n").alias("total")), "language-totals"
+        )
         size_of = {r.lang: r.total for r in totals.collect()}
         languages = sorted(size_of)
-        words = _frequent(counts, ["lang", "word"], size_of, WORD_SHARE)
+        words = _frequent(counts, totals, "word", WORD_SHARE)
         spelled = counts.mapInArrow(
             _partial_grams, "lang string, size int, gram string, n long"
         )
@@ -149,12 +151,9 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
         gram_sizes = {}
         for size in range(1, LONGEST + 1):
             own = pieces.filter(F.col("size") == size)
-            sums = own.groupBy("lang").agg(F.sum("n").alias("total")).collect()
-            gram_sizes[size] = {r.lang: r.total for r in sums if r.lang in size_of}
-            gram_rows[size] = [
-                tuple(r)
-                for r in _frequent(own, ["lang", "gram"], gram_sizes[size], GRAM_SHARE).collect()
-            ]
+            sums = own.groupBy("lang").agg(F.sum("n").alias("total"))
+            gram_sizes[size] = {r.lang: r.total for r in sums.collect()}
+            gram_rows[size] = [tuple(r) for r in _frequent(own, sums, "gram", GRAM_SHARE).collect()]
     total = sum(size_of.values())
     prior = np.log([size_of[lang] / total for lang in languages]) if languages else np.zeros(0)
     words_at, parts = _log_frequencies(word_rows, size_of, languages)
@@ -168,15 +167,11 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     return Model(languages, prior, words_at, places, np.concatenate(tables))
 
 
-def _frequent(counts: DataFrame, columns: list[str], sizes: dict[str, int], share: float):
-    """Counts in all languages of the entries with at least ``share`` of any language's counts."""
-    least = F.lit(None).cast("double")
-    for lang, size in sizes.items():
-        least = F.when(F.col("lang") == lang, F.lit(share * size)).otherwise(least)
-    item = columns[1]
-    entries = counts.filter(F.col("n") >= least).select(item).distinct()
-    own = counts.filter(F.col("lang").isin(list(sizes)))
-    return own.join(entries, item, "left_semi").select(*columns, "n")
+def _frequent(counts: DataFrame, totals: DataFrame, item: str, share: float) -> DataFrame:
+    """Counts in all languages of the entries with at least ``share`` of any language's ``total``."""
+    own = counts.join(totals, "lang")
+    entries = own.filter(F.col("n") >= F.lit(share) * F.col("total")).select(item).distinct()
+    return counts.join(entries, item, "left_semi").select("lang", item, "n")
 
 
 class Scorer:

@@ -170,6 +170,16 @@ def test_small_languages_are_classes(rows):
     assert score(" ".join(large[:8]))[0] == "en"
 
 
+def test_hundreds_of_languages_are_learned(rows):
+    """Each language has a word of its own; no expression grows with their number."""
+    names = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)]
+    own = [(lang, f"zz{lang}{lang} zz{lang}{lang} common") for lang in names]
+    model = language_id.fit(rows(own, "lang string, text string"))
+    assert model.languages == sorted(names)
+    score = language_id.Scorer(model)
+    assert all(score(f"zz{lang}{lang} common")[0] == lang for lang in names[::7])
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
