@@ -32,9 +32,8 @@ MARKS = b".,;:!?'\"()-"
 
 # Least share of a language's words that makes a word common: at most 1 / share words each.
 COMMON_SHARE = 0.002
-# A language is a reference from so many words on, or from this share of all words where that is less.
+# A language is a reference from so many words on, whatever the size of the table.
 LANGUAGE_WORDS = 5_000
-LANGUAGE_SHARE = 0.001
 # Entries a worker counts before it hands its partial counts on.
 COUNTER_ENTRIES = 200_000
 
@@ -202,15 +201,11 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> list[Reference
     with Workspace(df.sparkSession) as work:
         counts = work.stage(reference_counts(df, text, lang), "quality-counts")
         totals = counts.filter("kind = 't'").select("lang", F.col("n").alias("total"))
-        all_words = totals.agg(F.sum("total")).scalar()
-        large = totals.filter(
-            (F.col("total") > 0)
-            & (F.col("total") >= F.least(F.lit(LANGUAGE_WORDS), LANGUAGE_SHARE * all_words))
-        )
+        large = totals.filter(F.col("total") >= LANGUAGE_WORDS)
         wanted = (F.col("kind") == "c") | (F.col("n") >= COMMON_SHARE * F.col("total"))
         rows = (
             counts.filter("kind != 't' and item != X''")
-            .join(F.broadcast(large), "lang")
+            .join(large, "lang")
             .filter(wanted)
             .collect()
         )
