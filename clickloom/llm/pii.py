@@ -81,7 +81,10 @@ def _shifted(side: Column, amount: Callable[[Column], Column]) -> Column:
 
 
 def permuted(text: Column, key: str, kind: str) -> Column:
-    """Feistel network over the two halves of a text of two or more ASCII letters and digits."""
+    """Feistel network over the two halves of a text of ASCII letters and digits.
+
+    A single character has no halves: it moves on by a keyed step that is never zero.
+    """
     half = F.floor(F.length(text) / 2).cast("int")
     start = F.struct(
         F.substring(text, F.lit(1), half).alias("a"),
@@ -95,7 +98,15 @@ def permuted(text: Column, key: str, kind: str) -> Column:
 
     rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
     found = F.aggregate(rounds, start, step, lambda s: F.concat(s["a"], s["b"]))
-    return F.when(F.length(text) < 2, text).otherwise(found)
+    return F.when(F.length(text) < 2, _single(text, key, kind)).otherwise(found)
+
+
+def _single(text: Column, key: str, kind: str) -> Column:
+    """One letter or digit moved on by 1 to 9 or 1 to 25 places."""
+    steps = F.when(text.rlike("[0-9]"), 9).otherwise(25)
+    return F.when(text == "", text).otherwise(
+        _shifted(text, lambda _: F.pmod(_hash(key, kind, F.lit("single")), steps) + 1)
+    )
 
 
 def _permuted_pair(x: Column, y: Column, sides: tuple[int, int], key: str, kind: str) -> Column:
