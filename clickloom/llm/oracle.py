@@ -47,11 +47,11 @@ def url_filters(rules: Sequence, settings) -> str:
          coalesce(sum(bad), 0) AS b
   FROM rows_{k} WHERE len(segments) > {k} GROUP BY ALL)""",
             f"""nodes_{k} AS (
-  SELECT host, prefix, sum(n) AS an, sum(l) AS al, sum(b) AS ab FROM children_{k} GROUP BY ALL)""",
+  SELECT host, prefix, sum(l) AS al, sum(b) AS ab FROM children_{k} GROUP BY ALL)""",
             f"""kept_{k} AS (
   SELECT c.host, c.prefix, c.segment
   FROM children_{k} c JOIN nodes_{k} d ON d.host = c.host AND d.prefix = c.prefix
-  WHERE n >= {s.least_pages} AND n >= {s.least_share}::DOUBLE * an
+  WHERE n >= {s.least_pages}
     AND l >= {s.least_labels} AND al - l >= {s.least_labels}
     AND b / l <> (ab - b) / (al - l)
     AND power(b / l - (ab - b) / (al - l), 2)

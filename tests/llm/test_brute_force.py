@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -16,6 +17,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from compare import compare
 from clickloom.llm import (
     bpe,
     components,
@@ -452,6 +454,25 @@ def test_decontamination_of_edits_in_one_place(where, kind):
     assert len(missed) <= len(items) * 2 * (1 - settings.recall)
 
 
+# URL filters
+
+
+def test_one_bad_section_among_hundreds_by_operator_and_sql(spark, rows, tmp_path):
+    """300 sections of 20 pages on one host; all pages of one are bad, and only these are blocked."""
+    pages = [(300 * k + s, f"http://h.test/s{chr(97 + s % 26)}{chr(97 + s // 26)}/p") for k in range(20) for s in range(300)]
+    labels = [(i, 0 if i % 300 == 7 else 1, 0) for i, _ in pages]
+    rows(pages, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    rows(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = entry.queries()["op2_url_filters"](spark, str(tmp_path))
+    assert {r.page_id for r in found.filter("verdict = 'block'").collect()} == {
+        i for i, _ in pages if i % 300 == 7
+    }
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert compare(con, entry.oracle_sql()["op2_url_filters"], found) == ""
+
+
 # Pseudonyms
 
 
@@ -495,6 +516,16 @@ def test_pseudonyms_keep_format_and_links(rows):
     assert other[0].text != found[0]
 
 
+def test_pseudonyms_of_one_letter(rows):
+    """No name of one letter or digit stays, and different ones stay different."""
+    names = [*"abcdefghijklmnopqrstuvwxyz0123456789"]
+    frame = rows([(i, f"{c}@mail.com") for i, c in enumerate(names)], "doc_id long, text string")
+    for key in ("key", "other key", "third"):
+        found = [r.text for r in pii.pseudonymise(frame, key).orderBy("doc_id").collect()]
+        assert all(t.endswith("@mail.com") and t[0] != c for c, t in zip(names, found))
+        assert len(set(found)) == len(names)
+
+
 def test_pseudonyms_are_a_permutation(spark):
     four = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("t"))
     assert four.select(pii.permuted(F.col("t"), "k", "x").alias("p")).distinct().count() == 10_000
