@@ -5,11 +5,16 @@ named by its smallest id. Signatures are the minima of universal hashes; bands o
 in buckets. Within a bucket, a class is compared with a hub and not with every other: first the
 most central member, then, where a bucket still holds several components, members of its smallest
 components against all others. So a bucket costs about its size however many copies it holds, and
-no pair that could join two components stays untested. A pair passes when its signatures do not
+no pair that could join two components stays unseen. A pair passes when its signatures do not
 rule it out and its full sets then have the wanted similarity.
 
+The join of a bucket with its hubs carries a sketch of each set and makes no row of a pair that the
+sketches rule out. The parity of the hashes in each of 1,024 places differs in at most as many
+places as the sets differ in shingles, so that test loses no link; it is sharp for sets of some
+hundred shingles. The lowest bits of the signature serve larger sets.
+
 At a similarity of 0.75 a pair shares none of the 60 bands of 6 with probability 8e-6, and its
-signature check fails with probability below 1e-6.
+signature checks fail with probability below 1e-6 each.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. A text with fewer than five words has
 its whole sequence as its only shingle. Null, empty and wordless texts have the empty set and are
@@ -20,13 +25,15 @@ empty result. Input columns named like an output column are replaced.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..storage import Workspace
 from .common import byte_texts, words
@@ -38,8 +45,12 @@ BANDS, ROWS = 60, 6
 SIMILARITY = (75, 100)
 # Least share of agreeing signature entries, five standard deviations below the similarity.
 LEAST_AGREEING = 0.75 - 5 * (0.75 * 0.25 / (BANDS * ROWS)) ** 0.5
+# Places of the parity sketch, and most differing lowest bits of two signatures (half of the differing
+# entries differ there), five standard deviations above the similarity.
+PARITY = 1024
+MOST_BITS = BANDS * ROWS * 0.125 + 5 * (BANDS * ROWS * 0.125 * 0.875) ** 0.5
 # Members of a bucket's smallest components that one further round compares with the others.
-HUBS = 64
+HUBS = 512
 # Word hashes a worker remembers; shingles hashed at once.
 REMEMBERED = 300_000
 AT_ONCE = 2048
@@ -110,14 +121,23 @@ def band_hashes(least: np.ndarray) -> np.ndarray:
     return _mixed(sums + np.arange(BANDS, dtype=np.uint64)).astype(np.int64)
 
 
+def sketch(shingles: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Parities of the hashes by place, then the lowest bits of the signature, as 64-bit numbers."""
+    parity = np.bincount((shingles % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    bits = np.zeros(-(-len(least) // 64) * 64, np.uint8)
+    bits[: len(least)] = least & np.uint64(1)
+    return np.packbits(np.concatenate([parity.astype(np.uint8), bits])).view(np.int64)
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(doc_id, text_key, n_shingles, set_key, bands, signature)``; no set key for the empty set.
+    """``(doc_id, text_key, n_shingles, set_key, bands, signature, sketch)``; no set key for the
+    empty set.
 
     A signature entry is kept as its lowest byte, which differing minima share in 1 of 256 cases.
     """
     shingles = Shingles()
     for batch in batches:
-        sizes, keys, bands, signatures = [], [], [], []
+        sizes, keys, bands, signatures, sketches = [], [], [], [], []
         for text in byte_texts(batch.column(1)):
             own = shingles(text)
             sizes.append(len(own))
@@ -126,10 +146,12 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys.append(blake2b(own.tobytes(), digest_size=16).digest())
                 bands.append(band_hashes(least))
                 signatures.append(least.astype(np.uint8).tobytes())
+                sketches.append(sketch(own, least))
             else:
                 keys.append(None)
                 bands.append(None)
                 signatures.append(None)
+                sketches.append(None)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
@@ -138,8 +160,9 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(keys, pa.binary()),
                 pa.array(bands, pa.list_(pa.int64())),
                 pa.array(signatures, pa.binary()),
+                pa.array(sketches, pa.list_(pa.int64())),
             ],
-            ["doc_id", "text_key", "n_shingles", "set_key", "bands", "signature"],
+            ["doc_id", "text_key", "n_shingles", "set_key", "bands", "signature", "sketch"],
         )
 
 
@@ -236,8 +259,31 @@ def _members(classes: DataFrame, work: Workspace) -> DataFrame:
     return found
 
 
-def _further_pairs(members: DataFrame, own: Workspace) -> tuple[DataFrame, DataFrame]:
-    """Pairs across components, and the members that all others have now been compared with.
+def _possible() -> Column:
+    """Whether the sketches of a row's two sides leave the wanted similarity possible.
+
+    With ``d`` shingles in one of two sets only, ``a`` and ``b`` in each, the similarity is reached
+    if ``(whole + part) * d <= (whole - part) * (a + b)``.
+    """
+    part, whole = SIMILARITY
+    split = PARITY // 64
+
+    def differing(places: range) -> Column:
+        return reduce(
+            operator.add,
+            (F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("hub_sketch")[i])) for i in places),
+        )
+
+    both = F.col("n_shingles") + F.col("hub_shingles")
+    return ((whole + part) * differing(range(split)) <= (whole - part) * both) & (
+        differing(range(split, split + -(-BANDS * ROWS // 64))) <= MOST_BITS
+    )
+
+
+def _further_pairs(
+    members: DataFrame, sketches: DataFrame, own: Workspace
+) -> tuple[DataFrame, DataFrame]:
+    """Possible pairs across components, and the members that all others have now met.
 
     ``members`` has ``(bucket, doc_id, component)`` of buckets with several components.
     """
@@ -248,10 +294,19 @@ def _further_pairs(members: DataFrame, own: Workspace) -> tuple[DataFrame, DataF
         sized.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= HUBS),
         "minhash-hubs",
     )
-    hub = hubs.select(
-        "bucket", F.col("doc_id").alias("hub"), F.col("component").alias("hub_component")
+    hub = hubs.join(sketches.hint("merge"), "doc_id").select(
+        "bucket",
+        F.col("doc_id").alias("hub"),
+        F.col("component").alias("hub_component"),
+        F.col("n_shingles").alias("hub_shingles"),
+        F.col("sketch").alias("hub_sketch"),
+    )
+    sketched = sized.join(sketches.hint("merge"), "doc_id")
+    across = (
+        sketched.join(hub.hint("merge"), "bucket")
+        .filter(F.col("component") != F.col("hub_component"))
+        .filter(_possible())
     )
-    across = sized.join(hub, "bucket").filter(F.col("component") != F.col("hub_component"))
     pairs = across.select(
         F.least("hub", "doc_id").alias("u"), F.greatest("hub", "doc_id").alias("v")
     ).distinct()
@@ -309,7 +364,7 @@ def _components(texts: DataFrame) -> DataFrame:
     described = texts.mapInArrow(
         _describe,
         "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>, "
-        "signature binary",
+        "signature binary, sketch array<long>",
     )
     texts = texts.select("doc_id", "text")
     with Workspace(spark) as work:
@@ -322,7 +377,9 @@ def _components(texts: DataFrame) -> DataFrame:
         least = class_of.select("set_key", F.col("class").alias("doc_id"))
         wide = rows.join(least.hint("merge"), ["set_key", "doc_id"], "left_semi")
         classes = work.stage(
-            wide.dropDuplicates(["set_key", "doc_id"]).select("doc_id", "bands", "signature"),
+            wide.dropDuplicates(["set_key", "doc_id"]).select(
+                "doc_id", "n_shingles", "bands", "signature", "sketch"
+            ),
             "minhash-representatives",
         )
         members = _members(classes, work)
@@ -335,9 +392,15 @@ def _components(texts: DataFrame) -> DataFrame:
         # The hub has met all others of its bucket.
         rest = members.filter("doc_id != hub")
         open_buckets = work.stage(_open_buckets(rest, joined), "minhash-open")
+        sketches = work.stage(
+            classes.select("doc_id", "n_shingles", "sketch").join(
+                open_buckets.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"
+            ),
+            "minhash-sketches",
+        )
         while not open_buckets.isEmpty():
             with Workspace(spark) as own:
-                pairs, done = _further_pairs(open_buckets, own)
+                pairs, done = _further_pairs(open_buckets, sketches, own)
                 new = own.stage(pairs.join(tested, ["u", "v"], "left_anti"), "minhash-new")
                 links = _verified(new, classes, texts, work)
                 tested = work.stage(tested.unionByName(new), "minhash-tested")

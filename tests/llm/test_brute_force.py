@@ -275,6 +275,46 @@ def test_near_duplicates_of_chains(spark, rows):
     compared(spark, frame, own)
 
 
+def test_near_duplicates_just_below_and_above_the_similarity(spark, rows):
+    """A passage with many changed copies, whose similarities lie on both sides of 0.75."""
+    rng = random.Random(8)
+    passage = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    own = {}
+    for i in range(160):
+        words = list(passage)
+        for _ in range(rng.choice([3, 4, 5, 6])):
+            words[rng.randrange(150)] = f"x{i}y{rng.randrange(10**6)}"
+        own[i] = " ".join(words)
+    compared(spark, rows(list(own.items()), "doc_id long, text string"), own)
+
+
+@pytest.mark.parametrize("size", [1, 20, 150, 900, 6000])
+def test_sketches_keep_all_similar_sets_and_rule_out_most_others(spark, rows, size):
+    rng = np.random.default_rng(size)
+
+    def described(found):
+        found = np.unique(found)
+        return len(found), minhash.sketch(found, minhash.signature(found)).tolist()
+
+    pairs, similar = [], []
+    for changed in np.linspace(0, 0.9, 60):
+        base = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+        other = base.copy()
+        n = int(changed * len(base))
+        other[:n] = rng.integers(0, 2**63, n, dtype=np.uint64)
+        pairs.append((len(pairs), *described(base), *described(other)))
+        similar.append(minhash.similar(base, np.unique(other)))
+    frame = rows(
+        pairs,
+        "id long, n_shingles long, sketch array<long>, hub_shingles long, hub_sketch array<long>",
+    )
+    possible = {r.id for r in frame.filter(minhash._possible()).collect()}
+    wanted = {i for i, found in enumerate(similar) if found}
+    assert wanted <= possible
+    if size > 1:
+        assert len(possible - wanted) <= 0.4 * (60 - len(wanted))
+
+
 def test_components(spark, rows):
     rng = random.Random(1)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)]
