@@ -9,8 +9,9 @@ walks windows from their last word to their first, so edits at either end leave
 equal stretch. The number of repetitions follows from the wanted recall. Candidates are verified by
 the edit distance between the whole item and the best passage around the window.
 
-Before the walks, windows are left out that hold fewer words, or runs of two to four words, of any
-item than the allowed edits permit; they cannot match. The benchmark is a stated query set: it is sent in blocks of bounded
+Before the walks, windows are left out that hold fewer words, or runs of two to four words, of all
+items, and then fewer runs of the items of their size, than the allowed edits permit; they cannot
+match. The benchmark is a stated query set: it is sent in blocks of bounded
 size, each of which meets all documents.
 
 Null texts and texts without words match nothing, and neither do items without words. Items so
@@ -35,9 +36,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 MARKS = b".,;:!?'\"()[]{}-"
 # Bytes of item texts in one block.
 BLOCK_BYTES = 8_000_000
-# Words that are searched at once, and windows that are walked at once.
+# Words that are searched at once, and walks at once.
 WORDS_AT_ONCE = 1 << 20
-AT_ONCE = 1 << 16
+AT_ONCE = 1 << 18
 # Longest runs of words that windows must share with items.
 LONGEST_RUN = 4
 # Item sizes within this ratio share a first test of their windows.
@@ -120,6 +121,106 @@ def _run_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return hashes
 
 
+class Walks:
+    """All repetitions of one direction over windows of ``n`` words, and the items' buckets.
+
+    A walk moves on every other step, so about twice the item's words cover the item. The walks of
+    all windows in all repetitions take their steps together, as one array; each hash begins with
+    a number of its repetition, so one sorted array holds what the items have.
+    """
+
+    def __init__(self, n: int, settings: Settings, backwards: bool):
+        self.n = n
+        bits, samples, begin = [], [], []
+        for r in range(int(backwards), settings.repetitions, 2):
+            rng = np.random.default_rng([settings.seed, n, r])
+            steps = max(1, 2 * n)
+            samples.append(np.sort(rng.integers(0, steps, settings.samples)))
+            bits.append(rng.integers(1, 2**63, steps, dtype=np.uint64) * np.uint64(2))
+            begin.append(rng.integers(1, 2**63, dtype=np.uint64))
+        self.repetitions = len(bits)
+        # By step and repetition: the random bits, and how many samples are taken there.
+        self.odd = np.array(bits).reshape(self.repetitions, -1).T + np.uint64(1)
+        taken = np.array(samples).reshape(self.repetitions, -1)
+        self.last = taken.max(1, initial=0)
+        self.taken = (taken[None] == np.arange(len(self.odd))[:, None, None]).sum(2)
+        self.begin = np.array(begin, np.uint64)
+        self.known: list[np.ndarray] = []
+        self.buckets: dict[int, list[int]] = {}
+
+    def learn(self, own: list[int], words: np.ndarray) -> None:
+        """Store the buckets of the items ``own``, whose words follow each other in ``words``."""
+        known: list[list[np.ndarray]] = []
+        buckets = defaultdict(list)
+        for start, h in zip(*self._walk(words, np.arange(len(own)) * self.n, known)):
+            buckets[int(h)].append(own[int(start) // self.n])
+        self.known = [np.unique(np.concatenate(found)) for found in known]
+        self.buckets = dict(buckets)
+
+    def meet(self, words: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+        """Windows that fall in a bucket of items, with these items; a window for each bucket."""
+        at_once = max(1, AT_ONCE // max(1, self.repetitions))
+        for lo in range(0, len(starts), at_once):
+            found, hashes = self._walk(words, starts[lo : lo + at_once])
+            for start, h in zip(found.tolist(), hashes.tolist()):
+                if h in self.buckets:
+                    yield start, self.buckets[h]
+
+    def _walk(self, words: np.ndarray, starts: np.ndarray, learned: list | None = None):
+        """Starts and last hashes of the walks that end in a bucket, by repetition.
+
+        The embedding of a window continues with 0 once the walk has left it. A walk ends where
+        its hash is none that items have after so many samples; with ``learned``, none ends, and
+        the hashes after each number of samples are added to it.
+        """
+        found, ends = [], []
+        rep = np.repeat(np.arange(self.repetitions, dtype=np.int32), len(starts))
+        at = np.tile(starts.astype(np.int32), self.repetitions)
+        first, hashes = at, self.begin[rep]
+        over = len(words) - 1
+        for step in range(len(self.odd)):
+            if not len(rep):
+                break
+            symbol = words[np.minimum(at, over)].astype(np.uint64)
+            symbol[at - first >= self.n] = 0
+            taken = self.taken[step]
+            for again in range(taken.max(initial=0)):
+                here = np.flatnonzero((taken > again)[rep])
+                after = (hashes[here] ^ symbol[here]) * np.uint64(0x9E6C63D0676A9A99)
+                after ^= after >> np.uint64(29)
+                hashes[here] = after
+                if not len(here):
+                    continue
+                count = self.taken[:step].sum(0) + again
+                if learned is not None:
+                    levels = count[rep[here]]
+                    for level in np.unique(levels):
+                        while len(learned) <= level:
+                            learned.append([])
+                        learned[level].append(after[levels == level])
+                    continue
+                stays = np.ones(len(rep), bool)
+                levels = count[rep[here]]
+                for level in np.unique(levels):
+                    part = here if (levels == level).all() else here[levels == level]
+                    there, own = self.known[level], hashes[part]
+                    where = np.minimum(np.searchsorted(there, own), len(there) - 1)
+                    stays[part] = there[where] == own
+                rep, at, first = rep[stays], at[stays], first[stays]
+                hashes, symbol = hashes[stays], symbol[stays]
+            done = self.last[rep] == step
+            if done.any():
+                found.append(first[done])
+                ends.append(hashes[done])
+                going = ~done
+                rep, at, first = rep[going], at[going], first[going]
+                hashes, symbol = hashes[going], symbol[going]
+            moved = (symbol + np.uint64(1)) * self.odd[step][rep] >> np.uint64(63)
+            at = at + moved.astype(np.int32)
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *found]), np.concatenate([none.astype(np.uint64), *ends])
+
+
 class Index:
     """LSH tables of a block of items."""
 
@@ -134,94 +235,56 @@ class Index:
                 self.items.append((item_id, words))
         gap = np.zeros(1, np.int64)
         lined_up = np.concatenate([gap, *([*words, 0] for _, words in self.items)])
-        self.runs = [
-            np.unique(_run_hashes(lined_up, size)) for size in range(2, LONGEST_RUN + 1)
-        ]
+        self.runs = self._runs(lined_up)
         self.by_size: dict[int, list[int]] = defaultdict(list)
         for k, (_, words) in enumerate(self.items):
             self.by_size[len(words)].append(k)
+        # Of each size of items and of runs: which of all runs those items have.
+        self.runs_of = {
+            n: [
+                np.isin(runs, found)
+                for runs, found in zip(
+                    self.runs, self._runs(np.concatenate([[*self.items[k][1], 0] for k in own]))
+                )
+            ]
+            for n, own in self.by_size.items()
+        }
         self.size_classes: list[list[int]] = []
         for n in sorted(self.by_size):
             if self.size_classes and n <= SIZE_STEP * self.size_classes[-1][0]:
                 self.size_classes[-1].append(n)
             else:
                 self.size_classes.append([n])
-        self.plans = {n: self._plan(n) for n in self.by_size}
-        self.tables = {n: self._tables(n) for n in self.by_size}
-
-    def _plan(self, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Of each repetition: the random bits of its steps, and the steps that are sampled.
-
-        A walk moves on every other step, so about twice the item's words cover the item. Odd
-        repetitions walk backwards.
-        """
-        plans = []
-        for r in range(self.settings.repetitions):
-            rng = np.random.default_rng([self.settings.seed, n, r])
-            steps = max(1, 2 * n)
-            samples = np.sort(rng.integers(0, steps, self.settings.samples))
-            odd = rng.integers(1, 2**63, samples[-1] + 1, dtype=np.uint64) * np.uint64(2)
-            plans.append((odd + np.uint64(1), samples))
-        return plans
+        self.walks = [
+            {n: self._tables(n, backwards) for n in self.by_size} for backwards in (False, True)
+        ]
 
     @staticmethod
-    def walk(words: np.ndarray, starts: np.ndarray, n: int, plan, known=None):
-        """Windows and hashes of the sampled places of their embeddings.
-
-        The embedding of a window continues with 0 once the walk has left it. ``known`` has, for
-        each sample, the hashes that items have up to there; other windows end their walk.
-        """
-        odd, samples = plan
-        at, end = starts, starts + n
-        hashes = np.zeros(len(starts), np.uint64)
-        trail = []
-        sampled = 0
-        for step in range(len(odd)):
-            symbol = words[np.minimum(at, len(words) - 1)]
-            symbol = np.where(at < end, symbol, 0).astype(np.uint64)
-            while sampled < len(samples) and samples[sampled] == step:
-                hashes = (hashes ^ symbol) * np.uint64(0x9E6C63D0676A9A99)
-                hashes ^= hashes >> np.uint64(29)
-                if known is None:
-                    trail.append(hashes)
-                else:
-                    there = known[sampled]
-                    where = np.minimum(np.searchsorted(there, hashes), len(there) - 1)
-                    keep = np.flatnonzero(there[where] == hashes)
-                    starts, at, end = starts[keep], at[keep], end[keep]
-                    hashes, symbol = hashes[keep], symbol[keep]
-                sampled += 1
-            if not len(starts):
-                break
-            at = at + ((symbol + np.uint64(1)) * odd[step] >> np.uint64(63)).astype(np.int64)
-        return (starts, hashes) if known is not None else trail
+    def _runs(words: np.ndarray) -> list[np.ndarray]:
+        return [np.unique(_run_hashes(words, size)) for size in range(2, LONGEST_RUN + 1)]
 
-    def _tables(self, n: int) -> list[tuple[list[np.ndarray], dict[int, list[int]]]]:
-        """Of each repetition: the items' hashes up to each sample, and items by last hash."""
+    def _tables(self, n: int, backwards: bool) -> Walks:
+        """Walks over items of ``n`` words in one direction, and the buckets they fall in."""
         own = self.by_size[n]
-        words = np.concatenate([self.items[k][1] for k in own])
-        backwards = np.concatenate([self.items[k][1][::-1] for k in own])
-        starts = np.arange(len(own)) * n
-        found = []
-        for r, plan in enumerate(self.plans[n]):
-            trail = self.walk(backwards if r % 2 else words, starts, n, plan)
-            table = defaultdict(list)
-            for k, h in zip(own, trail[-1].tolist()):
-                table[h].append(k)
-            found.append(([np.unique(t) for t in trail], dict(table)))
-        return found
-
-    def _known(self, words: np.ndarray) -> list[np.ndarray]:
-        """Of each size of run: whether items have the run that begins at a place."""
-        found = [words > 0]
+        words = [self.items[k][1][:: -1 if backwards else 1] for k in own]
+        walks = Walks(n, self.settings, backwards)
+        walks.learn(own, np.concatenate([np.array(w, np.int64) for w in words]))
+        return walks
+
+    def _known(self, words: np.ndarray) -> tuple[list[np.ndarray], list[tuple]]:
+        """Of each size of run: whether items have the run that begins at a place; from two words
+        on also these places and the numbers of their runs."""
+        found, places = [words > 0], []
         for size, runs in enumerate(self.runs, 2):
             flags = found[-1][:-1] & found[-1][1:]
             at = np.flatnonzero(flags)
             hashes = _run_hashes(words, size)[at]
             where = np.minimum(np.searchsorted(runs, hashes), len(runs) - 1)
-            flags[at] = runs[where] == hashes
+            same = runs[where] == hashes
+            flags[at] = same
             found.append(flags)
-        return found
+            places.append((at[same], where[same]))
+        return found, places
 
     def _starts(self, seen: list[np.ndarray], sizes: list[int]):
         """``(n, starts)`` of the windows of each size with enough words and runs of items.
@@ -247,28 +310,44 @@ class Index:
             if len(starts):
                 yield n, starts
 
+    def _of_one_size(
+        self, places: list[tuple[np.ndarray, np.ndarray]], n: int, starts: np.ndarray
+    ) -> np.ndarray:
+        """The ``starts`` whose windows also hold enough runs of the items of ``n`` words."""
+        for size in range(LONGEST_RUN, 1, -1):
+            wanted = n - size + 1 - size * self.settings.edits(n)
+            if wanted > 0 and len(starts):
+                at, runs = places[size - 2]
+                own = at[self.runs_of[n][size - 2][runs]]
+                held = np.searchsorted(own, starts + n - size + 1) - np.searchsorted(own, starts)
+                starts = starts[held >= wanted]
+        return starts
+
     def candidates(self, words: np.ndarray) -> dict[int, list[tuple[int, int]]]:
         """Windows that share a bucket with an item, by item: the word at which the walk began, and
         the first word."""
         found = defaultdict(list)
+        # Windows may begin before the first word and end after the last one.
+        pad = max(self.by_size, default=0)
+        words = np.pad(words, pad)
         total = len(words)
-        known = self._known(words)
-        for backwards in (0, 1):
-            if backwards:
-                words, known = words[::-1], [flags[::-1] for flags in known]
-            seen = [np.concatenate([[0], np.cumsum(flags)]) for flags in known]
-            for sizes in self.size_classes:
-                for n, starts in self._starts(seen, sizes):
-                    for lo in range(0, len(starts), AT_ONCE):
-                        part = starts[lo : lo + AT_ONCE]
-                        searched = zip(self.plans[n][backwards::2], self.tables[n][backwards::2])
-                        for plan, (there, table) in searched:
-                            where, hashes = self.walk(words, part, n, plan, there)
-                            for start, h in zip(where.tolist(), hashes.tolist()):
-                                last = total - 1 - start
-                                window = (last, last - n + 1) if backwards else (start, start)
-                                for k in table[h]:
-                                    found[k].append(window)
+        known, places = self._known(words)
+        seen = [np.concatenate([[0], np.cumsum(flags)]) for flags in known]
+        for sizes in self.size_classes:
+            for n, starts in self._starts(seen, sizes):
+                starts = self._of_one_size(places, n, starts[starts <= total - n])
+                for backwards in (False, True):
+                    walks = self.walks[backwards][n]
+                    # A walk back begins at the last word, as the same windows serve both.
+                    own = total - n - starts[::-1] if backwards else starts
+                    line = words[::-1] if backwards else words
+                    for start, items in walks.meet(line, own):
+                        last = total - 1 - start - pad
+                        window = (
+                            (last, last - n + 1) if backwards else (start - pad, start - pad)
+                        )
+                        for k in items:
+                            found[k].append(window)
         return found
 
     def hits(self, texts: list[str | None]) -> list[list[dict]]:

@@ -494,6 +494,44 @@ def test_decontamination_of_edits_in_one_place(where, kind):
     assert len(missed) <= len(items) * 2 * (1 - settings.recall)
 
 
+@pytest.mark.parametrize("cut", ["start", "end"])
+def test_decontamination_at_the_ends_of_all_texts(cut):
+    """A passage cut short that is a whole text: its windows reach beyond the words there are."""
+    rng = random.Random(10)
+    items = [
+        (i, " ".join(f"w{rng.randrange(5000)}" for _ in range(n)))
+        for i, n in enumerate([5, 8, 15, 30, 59])
+    ]
+    index = decontamination.Index(items, settings := decontamination.Settings())
+    for i, text in items:
+        words = text.split()
+        edits = settings.edits(len(words))
+        short = words[edits:] if cut == "start" else words[: len(words) - edits]
+        assert [h["item_id"] for h in index.hits([" ".join(short)])[0]] == [i]
+
+
+def test_decontamination_query_against_all_items_and_texts(spark):
+    small = SF.replace("sf0.01", "sf0.001")
+    items = {
+        r.item_id: decontamination.plain_words(r.text)
+        for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()
+    }
+    rows = entry.queries()["op3_decontamination"](spark, small).collect()
+    found = defaultdict(set)
+    for r in rows:
+        found[r.doc_id].add(r.item_id)
+    number = {}
+    for r in spark.read.parquet(f"{small}/documents.parquet").collect():
+        words = [number.setdefault(w, len(number)) for w in decontamination.plain_words(r.text)]
+        own = set()
+        for i, item in items.items():
+            known = [number.get(w, -1 - k) for k, w in enumerate(item)]
+            allowed = decontamination.Settings().edits(len(item))
+            if item and decontamination.best_passage(known, words)[0] <= allowed:
+                own.add(i)
+        assert found[r.doc_id] == own
+
+
 # URL filters
 
 
