@@ -125,6 +125,9 @@ class Aligner:
         self._b_sizes = np.array(list(map(len, self.b_bytes)))
         self._a_names = list(map(str, range(len(self.a_bytes))))
         self._b_names = list(map(str, range(len(self.b_bytes))))
+        # With the mark that follows a token inside its group, and at its end.
+        self._a_marked = np.array([[n + m for n in self._a_names] for m in ",|"], object)
+        self._b_marked = np.array([[n + m for n in self._b_names] for m in ",;"], object)
         self._space = self._b.piece_to_id("▁")
         self._cuts = not any(re.search(r"\S |\n", p) for p in plain)
         self._new: dict[str, Segment | None] = {}
@@ -153,24 +156,20 @@ class Aligner:
         raw = [p.encode() for p in parts]
         ends = np.cumsum(list(map(len, raw)))
         text = "".join(parts)
-        a = np.array(self._a.encode(text, add_special_tokens=False).ids, "i8")
+        # Without the offsets in the text, which nothing needs.
+        a = np.array(self._a.encode_batch_fast([text], add_special_tokens=False)[0].ids, "i8")
         b = np.array(self._b.encode(text[1:], num_threads=1), "i8")
         a_raw = b"".join(map(self.a_bytes.__getitem__, a.tolist()))
-        b_raw = b"".join(map(self.b_bytes.__getitem__, b.tolist()))
+        b_ids = b.tolist()
+        b_raw = b"".join(map(self.b_bytes.__getitem__, b_ids))
         if not a_raw == b_raw == b"".join(raw):
             return self._align_alone(parts)
         a_sizes, b_sizes = self._a_sizes[a], self._b_sizes[b]
         a_ends, b_ends = np.cumsum(a_sizes), np.cumsum(b_sizes)
-        a_names = [self._a_names[t] for t in a.tolist()]
-        b_names = [self._b_names[t] for t in b.tolist()]
-        cut = slices(a_sizes.tolist(), b_sizes.tolist())
-        groups = [
-            f"{a_names[i]}|{b_names[j]}"
-            if i_end - i == j_end - j == 1
-            else f"{','.join(a_names[i:i_end])}|{','.join(b_names[j:j_end])}"
-            for i, i_end, j, j_end in cut
-        ]
-        group_ends = a_ends[[part[1] - 1 for part in cut]]
+        group_ends = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        # Tokens of either list up to the end of each group.
+        a_cut = np.searchsorted(a_ends, group_ends) + 1
+        b_cut = np.searchsorted(b_ends, group_ends) + 1
         # Overlaps lie inside a slice: from the token that an A token starts in to its end's.
         first = np.searchsorted(b_ends, a_ends - a_sizes, "right")
         many = np.searchsorted(b_ends, a_ends, "left") - first + 1
@@ -182,15 +181,26 @@ class Aligner:
         groups_to = np.searchsorted(group_ends, ends) + 1
         if not np.array_equal(group_ends[groups_to - 1], ends):
             return self._align_alone(parts)  # some token reached over a cut
-        pairs_to = (links_to[a_to - 1] * 8).tolist()
+        pairs_to = links_to[a_to - 1] * 8
+        names = self._written(a, b, a_cut, b_cut)
         found, i, j, g, p = [], 0, 0, 0, 0
-        for i_to, j_to, g_to, p_to in zip(a_to.tolist(), b_to.tolist(), groups_to.tolist(), pairs_to):
-            found.append(
-                Segment(i_to - i, j_to - j, g_to - g, ";".join(groups[g:g_to]), pairs[p:p_to])
-            )
+        for i_to, j_to, g_to, p_to in zip(*(x.tolist() for x in (a_to, b_to, groups_to, pairs_to))):
+            groups = "".join(names[i + j : i_to + j_to - 1]) + self._b_names[b_ids[j_to - 1]]
+            found.append(Segment(i_to - i, j_to - j, g_to - g, groups, pairs[p:p_to]))
             i, j, g, p = i_to, j_to, g_to, p_to
         return found
 
+    def _written(self, a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray) -> list[str]:
+        """Names of all tokens in the order and with the marks that groups are written with."""
+        a_last, b_last = np.zeros(len(a), "i8"), np.zeros(len(b), "i8")
+        a_last[a_cut - 1] = b_last[b_cut - 1] = 1
+        names = np.empty(len(a) + len(b), object)
+        # A group's A tokens come after the B tokens of earlier groups, and before its own.
+        sizes = np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0)
+        names[np.arange(len(a)) + np.repeat(b_cut - sizes[1], sizes[0])] = self._a_marked[a_last, a]
+        names[np.arange(len(b)) + np.repeat(a_cut, sizes[1])] = self._b_marked[b_last, b]
+        return names.tolist()
+
     def _align_alone(self, parts: list[str]) -> list[Segment | None]:
         return [self._align(p, a, b) for p, (a, b) in zip(parts, self.tokens(parts))]
 
@@ -262,6 +272,7 @@ class _Block:
         self.size = 0
         self._place: dict[str, int] = {}
         self._segments: list[Segment] = []
+        self._groups: list[str] = []
         self._ids: list = []
         self._made_of: list[np.ndarray] = []
         self._digests: list[str] = []
@@ -269,11 +280,12 @@ class _Block:
     def add(self, ids: list, texts: list[str], own: Aligner) -> None:
         parts = [own.segments(t) for t in texts]
         place = self._place
-        for part, segment in own.aligned(set().union(*parts) - place.keys()).items():
+        for part, segment in own.aligned(set().union(*parts).difference(place)).items():
             place[part] = -1 if segment is None else len(self._segments)
             if segment is not None:
                 self._segments.append(segment)
-        groups = [s.groups for s in self._segments]
+                self._groups.append(segment.groups)
+        groups = self._groups
         for doc_id, text, cut in zip(ids, texts, parts):
             places = list(map(place.__getitem__, cut))
             if -1 in places:

@@ -319,3 +319,21 @@ def test_alignment_edges(rows):
     groups = token_alignment.aligned_groups(frame, JSON, PIECES).filter("doc_id = 1").first().groups
     assert len(groups) == twice[0].n_groups
     assert sum(len(g.a) for g in groups) == twice[0].n_a
+
+
+def test_alignment_of_many_segments_at_once():
+    """A lot costs its own segments, not the block's; joined segments are aligned as alone."""
+
+    class Unwalked(list):
+        def __iter__(self):
+            raise AssertionError("walks all segments of the block")
+
+    with open(JSON, encoding="utf-8") as a, open(PIECES, "rb") as b:
+        own = token_alignment.Aligner(a.read(), b.read())
+    block = token_alignment._Block(0)
+    block._segments = Unwalked()
+    block.add([1], ["one two three"], own)
+    block.add([2], ["two mispelllt wordz, ünd 中文"], own)
+    assert len(block) == 2 and len(block._segments) == 7
+    parts = [" mispelllt", " wordz,", " ünd", " 中文🙂x", " a", "\n\nnext", " x-1.5;qqzxj"]
+    assert own._align_joined(parts) == own._align_alone(parts)
