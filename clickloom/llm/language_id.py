@@ -17,9 +17,10 @@ columns named like an output column are replaced.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,12 @@ GRAM_SHARE = 1 / 20_000
 # Weight of a known n-gram set against a known word.
 BACKOFF_WEIGHT = 0.5
 COUNTER_ENTRIES = 200_000
+# Characters of words whose n-grams are counted together.
+SPELLED_AT_ONCE = 20_000
 # Words of a text that are scored together.
 WORDS_AT_ONCE = 100_000
+# Scores of unseen words that a worker remembers, over all languages.
+REMEMBERED = 800_000
 
 FIELDS = T.StructType(
     [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -57,50 +62,72 @@ def grams(word: str, n: int) -> list[str]:
 
 def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(lang, word, n)`` summed over a bounded number of entries at a time."""
-    counts: Counter = Counter()
-
-    def flush():
-        keys = list(counts)
-        columns = [
-            pa.array([k[0] for k in keys], pa.string()),
-            pa.array([k[1] for k in keys], pa.string()),
-            pa.array([counts[k] for k in keys], pa.int64()),
-        ]
-        counts.clear()
-        return pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
-
+    counts: dict[str, Counter] = defaultdict(Counter)
+    held = 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for word, n in Counter(text_words(text)).items():
-                counts[lang, word] += n
-            if len(counts) >= COUNTER_ENTRIES:
-                yield flush()
-    yield flush()
+            own = counts[lang]
+            held -= len(own)
+            own.update(text_words(text))
+            held += len(own)
+            if held >= COUNTER_ENTRIES:
+                yield _rows({(k,): v for k, v in counts.items()}, [("lang", pa.string())], "word")
+                counts.clear()
+                held = 0
+    yield _rows({(k,): v for k, v in counts.items()}, [("lang", pa.string())], "word")
+
+
+def _rows(counts: dict[tuple, Counter], heads: list[pa.Field], item: str) -> pa.RecordBatch:
+    """Each counter's items with their counts, behind the values of its key."""
+    columns = [
+        pa.array([k[i] for k, own in counts.items() for _ in own], kind)
+        for i, (_, kind) in enumerate(heads)
+    ]
+    columns.append(pa.array([x for own in counts.values() for x in own], pa.string()))
+    columns.append(pa.array([n for own in counts.values() for n in own.values()], pa.int64()))
+    return pa.RecordBatch.from_arrays(columns, [*(name for name, _ in heads), item, "n"])
 
 
 def _partial_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(lang, size, gram, n)`` of counted words, summed in the same way."""
-    counts: Counter = Counter()
-
-    def flush():
-        keys = list(counts)
-        columns = [
-            pa.array([k[0] for k in keys], pa.string()),
-            pa.array([k[1] for k in keys], pa.int32()),
-            pa.array([k[2] for k in keys], pa.string()),
-            pa.array([counts[k] for k in keys], pa.int64()),
-        ]
-        counts.clear()
-        return pa.RecordBatch.from_arrays(columns, ["lang", "size", "gram", "n"])
+    counts: dict[tuple, Counter] = defaultdict(Counter)
+    heads = [("lang", pa.string()), ("size", pa.int32())]
+    once: dict[str, list[str]] = defaultdict(list)
+    spelled = 0
+
+    def count_once():
+        for lang, words in once.items():
+            for size in range(1, LONGEST + 1):
+                counts[lang, size].update(joined_grams(words, size))
+        once.clear()
 
     for batch in batches:
         for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
-            for size in range(1, LONGEST + 1):
-                for gram in grams(word, size):
-                    counts[lang, size, gram] += n
-            if len(counts) >= COUNTER_ENTRIES:
-                yield flush()
-    yield flush()
+            if n == 1:  # most words
+                once[lang].append(word)
+            else:
+                for size in range(1, LONGEST + 1):
+                    own = counts[lang, size]
+                    for gram in grams(word, size):
+                        own[gram] = own.get(gram, 0) + n
+            spelled += len(word)
+            if spelled >= SPELLED_AT_ONCE:
+                count_once()
+                spelled = 0
+                if sum(map(len, counts.values())) >= COUNTER_ENTRIES:
+                    yield _rows(counts, heads, "gram")
+                    counts.clear()
+    count_once()
+    yield _rows(counts, heads, "gram")
+
+
+def joined_grams(words: list[str], size: int) -> list[str]:
+    """N-grams of all words; one that reaches over two words holds both their blanks."""
+    if size == 1:
+        return list("".join(words))
+    text = f" {'  '.join(words)} "
+    found = [text[i : i + size] for i in range(len(text) - size + 1)]
+    return [g for g in found if "  " not in g]
 
 
 @dataclass(frozen=True)
@@ -113,6 +140,11 @@ class Model:
     grams: list[dict[str, int]]
     scores: np.ndarray
 
+    @cached_property
+    def scorer(self) -> Scorer:
+        """One scorer for all batches of a worker that holds the model."""
+        return Scorer(self)
+
 
 def _log_frequencies(rows, size_of, languages) -> tuple[dict[str, int], np.ndarray]:
     """Entries and their smoothed log frequencies; an entry a language lacks counts a half."""
@@ -175,32 +207,56 @@ def _frequent(counts: DataFrame, totals: DataFrame, item: str, share: float) ->
 
 
 class Scorer:
-    """Scores texts by a model."""
+    """Scores texts by a model, and remembers the scores of unseen words."""
 
     def __init__(self, model: Model):
         self.model = model
+        width = max(1, len(model.languages))
+        self._room = max(1000, REMEMBERED // width)
+        self._unseen = np.zeros((self._room, width))
+        self._forget()
+
+    def _forget(self) -> None:
+        self._place = dict(self.model.words)
+        self._used = 0
 
     def backed_off(self, word: str) -> list[int]:
         """Entries of the word's known n-grams of the longest length that has any."""
         for size in range(min(LONGEST, len(word) + 2), 0, -1):
-            place = self.model.grams[size - 1]
-            if at := [place[g] for g in grams(word, size) if g in place]:
+            place = self.model.grams[size - 1].get
+            if at := [p for g in grams(word, size) if (p := place(g)) is not None]:
                 return at
         return []
 
+    def _remember(self, words: set[str]) -> None:
+        """Scores of unseen words, the weighted mean of their n-grams, after the model's rows."""
+        scores = self.model.scores
+        found = [(w, p) for w in words if (p := self.backed_off(w))]
+        unknown = len(scores) + self._room
+        self._place.update(dict.fromkeys(words, unknown))
+        if not found:
+            return
+        sizes = np.array([len(p) for _, p in found])
+        flat = scores[np.array([x for _, p in found for x in p])].astype(float)
+        sums = np.add.reduceat(flat, np.cumsum(sizes) - sizes)
+        end = self._used + len(found)
+        self._unseen[self._used : end] = BACKOFF_WEIGHT * sums / sizes[:, None]
+        self._place.update(zip((w for w, _ in found), range(len(scores) + self._used, len(scores) + end)))
+        self._used = end
+
     def sums(self, found: list[str]) -> np.ndarray:
         """Summed word scores; an unseen word counts the weighted mean of its n-grams."""
-        at, weights = [], []
-        known = self.model.words
-        for word, n in Counter(found).items():
-            place = known.get(word)
-            if place is not None:
-                at.append(place)
-                weights.append(n)
-            elif pieces := self.backed_off(word):
-                at += pieces
-                weights += [BACKOFF_WEIGHT * n / len(pieces)] * len(pieces)
-        return np.array(weights) @ self.model.scores[np.array(at, np.int64)]
+        at = list(map(self._place.get, found))
+        if None in at:
+            if len(self._place) - len(self.model.words) + len(found) > self._room:
+                self._forget()
+            self._remember(set(found).difference(self._place))
+            at = list(map(self._place.__getitem__, found))
+        at = np.array(at)
+        scores = self.model.scores
+        rest = at[at >= len(scores)] - len(scores)
+        total = scores[at[at < len(scores)]].sum(0, dtype=float)
+        return total + self._unseen[rest[rest < self._room]].sum(0)
 
     def __call__(self, text: str) -> tuple[str, float]:
         found = text_words(text)
@@ -208,8 +264,9 @@ class Scorer:
         if not found or not languages:
             return UNDETERMINED, 0.0
         total = self.model.prior.copy()
-        for start in range(0, len(found), WORDS_AT_ONCE):
-            total += self.sums(found[start : start + WORDS_AT_ONCE])
+        step = min(WORDS_AT_ONCE, self._room)
+        for start in range(0, len(found), step):
+            total += self.sums(found[start : start + step])
         shares = np.exp(total - total.max())
         best = int(shares.argmax())
         return languages[best], float(shares[best] / shares.sum())
@@ -220,7 +277,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def per_text(texts):
-        score = Scorer(sent.value)
+        score = sent.value.scorer
         found = [score((t or b"").decode()) for t in texts]
         return [{"lang_pred": lang, "score": score} for lang, score in found]
 

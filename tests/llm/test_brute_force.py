@@ -182,6 +182,25 @@ def test_hundreds_of_languages_are_learned(rows):
     assert all(score(f"zz{lang}{lang} common")[0] == lang for lang in names[::7])
 
 
+def test_unseen_words_are_looked_up_once(rows):
+    """A scorer remembers them, and scores alike when it has no room; joined words spell alike."""
+    own = [("da", "og sjov " * 50), ("no", "og moro " * 50)]
+    model = language_id.fit(rows(own, "lang string, text string"))
+    score, calls = language_id.Scorer(model), []
+    plain = score.backed_off
+    score.backed_off = lambda word: calls.append(word) or plain(word)
+    text = "sjovt og morot qq sjovt moroen"
+    first = score(text)
+    assert score(text) == first and sorted(calls) == ["moroen", "morot", "qq", "sjovt"]
+    cramped = language_id.Scorer(model)
+    cramped._room = 2
+    assert cramped(text) == (first[0], pytest.approx(first[1]))
+    words = ["a", "og", "sjov", "moroen", "a"]
+    for size in range(1, language_id.LONGEST + 1):
+        alone = [g for w in words for g in language_id.grams(w, size)]
+        assert sorted(language_id.joined_grams(words, size)) == sorted(alone)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
