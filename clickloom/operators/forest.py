@@ -5,7 +5,8 @@ The trees are those of Spark's ``RandomForestClassifier`` with its defaults: fea
 gain, equal neighbouring leaves merged, soft votes. Three things differ. Rows that no tree can tell
 apart are counted before the fit, and a tree draws the sum of their weights at once. Bins come from
 all rows, not from a sample. Each tree has a seed of its own, so the first n trees of a forest are the
-forest of n trees, however rows are partitioned: one forest holds every smaller one.
+forest of n trees: one forest holds every smaller one. Draws do not depend on partitions; the ends of
+the bins of a feature with many values may move by 1/2048 of the rows with them.
 """
 
 from __future__ import annotations

@@ -178,8 +178,35 @@ def test_the_stored_forest_votes_as_the_counted_one(spark, linear_parts):
     assert votes == {round(r.scores[1], 9) for r in scored}
 
 
-def test_rows_are_counted_before_they_are_drawn():
-    """Rows that fall into the same bins cost one draw a tree, and draw as often as each alone."""
+def test_a_search_grows_each_fold_once(linear_parts, monkeypatch):
+    grown, grow = [], forest.CountedRows.grow
+
+    def seen(rows, forests, trees):
+        grown.append((list(forests), trees))
+        return grow(rows, forests, trees)
+
+    monkeypatch.setattr(forest.CountedRows, "grow", seen)
+    found = study.search_forest(linear_parts.train, "id", (4, 9))
+    best = (4, 9)[int(np.argmax(found.avgMetrics))]
+    assert grown == [(list(range(study.FOLDS)), 9), ([study.FOLDS], best)]
+
+
+def test_rows_alike_are_counted_before_they_are_drawn(spark, linear_parts):
+    rows = study.with_folds(linear_parts.train, "id")
+    sizes = []
+    for copies in (1, 20):
+        many = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+        with Workspace(spark) as work:
+            counted = forest.CountedRows(work, many, study.FOLDS, forest.Growth(1, 5, 32))
+            cells = counted._cells.select("forest", F.explode("cells").alias("c"))
+            found = cells.agg(F.count("*"), F.sum("c.fitted"), F.sum("c.held")).first()
+            sizes.append((found[0], found[1] // copies, found[2] // copies))
+    # Each row is fitted on by the forests of the other folds and of all rows.
+    n = rows.count()
+    assert sizes[0][1:] == sizes[1][1:] == (study.FOLDS * n, n)
+    # Ends of bins lie at ranks, which copies move by less than a row.
+    assert sizes[1][0] == pytest.approx(sizes[0][0], rel=0.02)
+    # A cell of many rows is drawn as often as each of its rows alone.
     drawn = np.array([forest._drawn(np.array([1000, 1]), 1, 0, t, 0) for t in range(2000)])
     assert drawn.mean(axis=0) == pytest.approx([1000, 1], rel=0.1)
     assert drawn.var(axis=0) == pytest.approx([1000, 1], rel=0.15)
